@@ -1,0 +1,86 @@
+"""Cutting long ordered sequences into time slices.
+
+An ordered scan per key (state carried from row to row) would put all rows of a key into one
+task. Here a key's rows are cut into time slices; each slice is scanned on its own and the state
+at a slice boundary is carried through a table with one row per slice.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+SLICE_SECONDS = 60
+SLICE_MAX_ROWS = 2_000_000
+
+
+def _slice_start(micros: Column, width: int) -> Column:
+    return micros - F.pmod(micros, F.lit(width).cast("bigint"))
+
+
+def with_time_slices(
+    df: DataFrame,
+    keys: Sequence[str],
+    time_col: str = "ts",
+    seconds: int = SLICE_SECONDS,
+    max_rows: int | None = SLICE_MAX_ROWS,
+) -> DataFrame:
+    """Add ``slice`` (bigint, never decreasing in time within a key).
+
+    A slice with more than ``max_rows`` rows is cut further in proportion to its size, down to
+    single microseconds. The table of such slices has at most rows / max_rows entries (250,000
+    for 5e11 rows), which is the bound behind its broadcast.
+    """
+    width = seconds * 1_000_000
+    micros = F.unix_micros(time_col)
+    sliced = df.withColumn("slice", _slice_start(micros, width))
+    if max_rows is None:
+        return sliced
+    crowded = (
+        sliced.groupBy(*keys, "slice").agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > max_rows)
+        .select(*keys, "slice", F.greatest(
+            F.lit(1).cast("bigint"),
+            F.call_function("div", F.lit(width).cast("bigint") * max_rows, F.col("_rows")))
+            .alias("_step"))
+    )
+    offset = micros - F.col("slice")
+    return (
+        sliced.join(F.broadcast(crowded), [*keys, "slice"], "left")
+        .withColumn("slice", F.col("slice") + F.coalesce(
+            offset - F.pmod(offset, F.col("_step")), F.lit(0).cast("bigint")))
+        .drop("_step")
+    )
+
+
+def with_previous(
+    sliced: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    seeds: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``out``: ``value`` of the preceding row of the same key, NULL for the first row.
+
+    ``seeds`` (keys + value) supplies the value before a key's first row. ``value`` must not be
+    NULL. The window and the join use the same partitioning, so the rows are shuffled once.
+    """
+    within = W.partitionBy(*keys, "slice").orderBy(*order)
+    ends = sliced.groupBy(*keys, "slice").agg(
+        F.max_by(value, F.struct(*order)).alias("_end"))
+    if seeds is not None:
+        before_all = F.lit(-(2**63)).cast("bigint")
+        ends = ends.unionByName(
+            seeds.select(*keys, before_all.alias("slice"), F.col(value).alias("_end")))
+    across = W.partitionBy(*keys).orderBy("slice")
+    carried = ends.select(*keys, "slice", F.lag("_end").over(across).alias("_carried"))
+    return (
+        sliced.withColumn("_inside", F.lag(value).over(within))
+        .join(carried, [*keys, "slice"])
+        .withColumn(out, F.coalesce("_inside", "_carried"))
+        .drop("_inside", "_carried")
+    )
