@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +43,23 @@ _RFC3339 = r"\A\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{
 def rfc3339(text: Column) -> Column:
     """Instant of an RFC 3339 text, NULL if it is not one or not a real date."""
     return F.when(text.rlike(_RFC3339), F.try_to_timestamp(F.upper(text)))
+
+
+def computed_once(df: DataFrame, kept: Sequence[str], columns: Sequence[Column]) -> DataFrame:
+    """``kept`` columns of ``df`` plus ``columns``, which later filters will not recompute.
+
+    Catalyst pushes a filter through projections by repeating the projected expressions below
+    it, so a filter on a parsed field would parse every message again. It does not push through
+    a generator, hence the ``inline`` of a one-element array.
+    """
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
+def with_fields(df: DataFrame, source: str, fields: Sequence[str]) -> DataFrame:
+    """Add top-level fields of the JSON in ``source`` as text columns, NULL if there are none."""
+    text = F.col(source).cast("string")
+    parsed = (
+        df.withColumn("_sealed", sealed_parse(text))
+        .withColumn("_payload", payload(F.col("_sealed"), text))
+    )
+    return computed_once(parsed, df.columns, [text_of(F.col("_payload"), f).alias(f) for f in fields])

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.functions.jsonfields import payload, sealed_parse, text_of
+from logweir.functions.jsonfields import with_fields
 from logweir.functions.rates import mean
 from logweir.functions.text import contains_ignore_case, iso_utc, preview
 from logweir.operators.validation import (
@@ -72,14 +72,7 @@ def enrich(letters: DataFrame) -> DataFrame:
 
     NULL where the original is not JSON or lacks the field.
     """
-    text = F.col("original_message")
-    return (
-        letters.withColumn("_sealed", sealed_parse(text))
-        .withColumn("_payload", payload(F.col("_sealed"), text))
-        .select(*letters.columns,
-                *[text_of(F.col("_payload"), n).alias(n)
-                  for n in ("service", "severity", "trace_id", "message")])
-    )
+    return with_fields(letters, "original_message", ("service", "severity", "trace_id", "message"))
 
 
 def search(

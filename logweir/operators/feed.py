@@ -9,7 +9,7 @@ TOP_EVENTS = 20
 
 
 def _top(events: DataFrame, rows: int) -> DataFrame:
-    return events.orderBy(F.desc("at"), "level", "text").limit(rows)
+    return events.orderBy(F.desc("happened_at"), "level", "text").limit(rows)
 
 
 def recent_events(
@@ -20,16 +20,16 @@ def recent_events(
     Each kind is cut to its own newest rows first; the feed cannot contain more of any kind.
     """
     pauses = turns.select(
-        F.col("ts").alias("at"),
+        F.col("ts").alias("happened_at"),
         F.when(F.col("action") == "PAUSE", "WARNING").otherwise("INFO").alias("level"),
         F.concat(F.lit("partition "), F.col("partition_id").cast("string"), F.lit(" "),
                  F.col("action"), F.lit(" at depth "), F.col("depth").cast("string")).alias("text"))
     dead = letters.select(
-        F.col("failed_at").alias("at"), F.lit("ERROR").alias("level"),
+        F.col("failed_at").alias("happened_at"), F.lit("ERROR").alias("level"),
         F.concat(F.lit("dead letter "), F.col("id").cast("string"), F.lit(": "),
                  F.col("failure_reason")).alias("text"))
     slo = breaches.select(
-        F.col("window_end").alias("at"), F.lit("WARNING").alias("level"),
+        F.col("window_end").alias("happened_at"), F.lit("WARNING").alias("level"),
         F.concat(F.col("service"), F.lit(" error rate "), F.col("error_rate_pct").cast("string"),
                  F.lit(" percent")).alias("text"))
     newest = [_top(part, rows) for part in (pauses, dead, slo)]

@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.functions.jsonfields import kind, payload, rfc3339, sealed_parse, text_of
+from logweir.functions.jsonfields import (
+    computed_once, kind, payload, rfc3339, sealed_parse, text_of)
 from logweir.functions.rates import percentage
 from logweir.settings import (
     KNOWN_SERVICES,
@@ -188,9 +189,7 @@ def check_messages(
 ) -> DataFrame:
     """Append ``rule``, ``failure_reason`` and the schema's output columns to ``df``.
 
-    Each message is parsed once. The closing ``inline`` keeps it so: Catalyst pushes a filter
-    on ``rule`` through projections by repeating their expressions, which would parse every
-    message again below the filter; it does not push through a generator.
+    Each message is parsed once, also under a later filter on ``rule``: see ``computed_once``.
     """
     kept = df.columns
     binary = dict(df.dtypes)[value] == "binary"
@@ -222,9 +221,8 @@ def check_messages(
         every = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code, _ in failures]))
         columns.append(every.alias("all_rules"))
     columns += [F.col(f"_o_{name}").alias(name) for name in schema.outputs]
-    return parsed.withColumn("_first", first).select(
-        *[c for c in kept if c not in schema.outputs],
-        F.inline(F.array(F.struct(*columns))))
+    return computed_once(
+        parsed.withColumn("_first", first), [c for c in kept if c not in schema.outputs], columns)
 
 
 def validate_logs(
@@ -264,13 +262,10 @@ def malformed_pct(validated: DataFrame) -> DataFrame:
 def message_key(df: DataFrame, value: str = "value") -> DataFrame:
     """Routing key of each message: its service, or the stand-in key when there is none."""
     text = F.col(value).cast("string")
-    return (
-        df.withColumn("_sealed", sealed_parse(text))
-        .withColumn("_payload", payload(F.col("_sealed"), text))
-        .withColumn("message_key", F.coalesce(
-            text_of(F.col("_payload"), "service"), F.lit(UNKNOWN_SERVICE_KEY)))
-        .drop("_sealed", "_payload")
-    )
+    parsed = df.withColumn("_sealed", sealed_parse(text)).withColumn(
+        "_payload", payload(F.col("_sealed"), text))
+    key = F.coalesce(text_of(F.col("_payload"), "service"), F.lit(UNKNOWN_SERVICE_KEY))
+    return computed_once(parsed, df.columns, [key.alias("message_key")])
 
 
 __all__ = [
