@@ -9,31 +9,45 @@ from pyspark.sql import functions as F
 
 
 def sealed_parse(text: Column) -> Column:
-    """Parse ``text`` together with its own hash as a two-element array.
+    """Parse ``text`` together with its own hash, as ``{"v": <text>, "h": <hash>}``.
 
     ``try_parse_json`` stops at the end of the first value and ignores whatever follows it.
-    Putting the hash of the text behind it makes trailing content visible: see ``payload``.
-    Invalid JSON and duplicate object keys give NULL.
+    The hash behind the text makes trailing content visible: see ``intact``. Invalid JSON and
+    duplicate object keys give NULL.
     """
-    return F.try_parse_json(
-        F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
-    )
+    return F.try_parse_json(F.concat(
+        F.lit('{"v":'), text, F.lit(',"h":'), F.xxhash64(text).cast("string"), F.lit("}")))
 
 
-def payload(sealed: Column, text: Column) -> Column:
-    """The parsed value, or NULL unless ``text`` is exactly one JSON value."""
-    intact = F.try_variant_get(sealed, "$[1]", "bigint") == F.xxhash64(text)
-    return F.when(intact, F.try_variant_get(sealed, "$[0]", "variant"))
+def sealed_shape(shape: str) -> str:
+    """The shape of a sealed value whose content has the given shape."""
+    return f"OBJECT<h: BIGINT, v: {shape}>"
 
 
-def kind(variant: Column, field: str) -> Column:
-    """Type name of a field: NULL if absent, VOID for JSON null, STRING, BIGINT, OBJECT<..>, .."""
-    return F.schema_of_variant(F.try_variant_get(variant, f"$.{field}", "variant"))
+def sealed_hash(sealed: Column) -> Column:
+    return F.try_variant_get(sealed, "$.h", "bigint")
 
 
-def text_of(variant: Column, field: str) -> Column:
-    """A field as text: strings as they are, other values as JSON, NULL if absent or null."""
-    return F.try_variant_get(variant, f"$.{field}", "string")
+def text_of(sealed: Column, field: str) -> Column:
+    """A field of the content as text: strings as they are, other values as JSON, else NULL."""
+    return F.try_variant_get(sealed, f"$.v.{field}", "string")
+
+
+def kind(sealed: Column, field: str | None = None) -> Column:
+    """Type name of the content or of one field of it.
+
+    NULL if absent, VOID for JSON null, else STRING, BIGINT, OBJECT<..> and so on.
+    """
+    path = "$.v" if field is None else f"$.v.{field}"
+    return F.schema_of_variant(F.try_variant_get(sealed, path, "variant"))
+
+
+def intact(sealed: Column, text: Column) -> Column:
+    """Whether ``text`` is exactly one JSON value, with nothing before or behind it."""
+    return F.coalesce(
+        (sealed_hash(sealed) == F.xxhash64(text))
+        & (F.schema_of_variant(sealed) == F.concat(F.lit("OBJECT<h: BIGINT, v: "), kind(sealed), F.lit(">"))),
+        F.lit(False))
 
 
 # RFC 3339 date-time with a mandatory zone. try_to_timestamp alone accepts '2025'.
@@ -58,8 +72,6 @@ def computed_once(df: DataFrame, kept: Sequence[str], columns: Sequence[Column])
 def with_fields(df: DataFrame, source: str, fields: Sequence[str]) -> DataFrame:
     """Add top-level fields of the JSON in ``source`` as text columns, NULL if there are none."""
     text = F.col(source).cast("string")
-    parsed = (
-        df.withColumn("_sealed", sealed_parse(text))
-        .withColumn("_payload", payload(F.col("_sealed"), text))
-    )
-    return computed_once(parsed, df.columns, [text_of(F.col("_payload"), f).alias(f) for f in fields])
+    parsed = df.withColumn("_sealed", sealed_parse(text)).withColumn(
+        "_content", F.when(intact(F.col("_sealed"), text), F.col("_sealed")))
+    return computed_once(parsed, df.columns, [text_of(F.col("_content"), f).alias(f) for f in fields])

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.functions.jsonfields import (
-    computed_once, kind, payload, rfc3339, sealed_parse, text_of)
+    computed_once, intact, kind, rfc3339, sealed_hash, sealed_parse, sealed_shape, text_of, with_fields)
 from logweir.functions.rates import percentage
 from logweir.settings import (
     KNOWN_SERVICES,
@@ -70,6 +71,10 @@ class MessageSchema:
     def names(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    def value_checks(self, extra: Sequence[tuple[str, Check]] = ()) -> list[tuple[str, Check]]:
+        """(field, check) pairs in reporting order."""
+        return [(f.name, c) for f in self.fields for c in f.checks] + list(extra)
+
     @property
     def plain_shape(self) -> str | None:
         """The variant type of a well-shaped message, when every field is a string."""
@@ -138,46 +143,58 @@ def known_service_check(services: Sequence[str] = KNOWN_SERVICES) -> Check:
                  lambda text: ~text.isin(*services))
 
 
-def _failures(
-    schema: MessageSchema, extra: Sequence[tuple[str, Check]], independent: bool
-) -> list[tuple[Column, str, Column]]:
-    """(condition, code, reason) in the order in which rules are tried.
+def _failures(schema: MessageSchema, extra: Sequence[tuple[str, Check]]) -> list[tuple[Column, str, str]]:
+    """(condition, code, reason) of every rule, in the order in which they are reported.
 
-    ``independent`` makes value checks silent on absent or wrongly typed fields; when only the
-    first failure counts, the earlier rules have caught those already.
+    Value checks stay silent on absent or wrongly typed fields.
     """
-    shape = F.col("_shape")
-    is_object = shape.startswith("OBJECT")
-    plain = schema.plain_shape
-    oddly_shaped = is_object if plain is None else is_object & (shape != plain)
-    found: list[tuple[Column, str, Column]] = [
-        (~F.col("_utf8"), "invalid_utf8", F.lit(DECODE_FAILURE + "invalid UTF-8")),
-        (shape.isNull(), "invalid_json", F.lit(DECODE_FAILURE + "invalid JSON")),
-        (~is_object, "not_object", F.lit(SCHEMA_FAILURE + "message is not an object")),
+    whole, is_object = F.col("_found.whole"), F.col("_found.is_object")
+    kinds = {f.name: F.col(f"_found.{f.name}") for f in schema.fields}
+    wrong = {f.name: f.wrong_type(kinds[f.name], F.col(f"_t_{f.name}")) for f in schema.fields}
+    found = [
+        (~F.col("_utf8"), "invalid_utf8", DECODE_FAILURE + "invalid UTF-8"),
+        (~whole, "invalid_json", DECODE_FAILURE + "invalid JSON"),
+        (whole & ~is_object, "not_object", SCHEMA_FAILURE + "message is not an object"),
     ]
     for f in schema.fields:
-        found.append((oddly_shaped & F.col(f"_k_{f.name}").isNull(), f"missing_{f.name}",
-                      F.lit(f"{SCHEMA_FAILURE}{f.name} missing")))
+        found.append((is_object & kinds[f.name].isNull(), f"missing_{f.name}",
+                      f"{SCHEMA_FAILURE}{f.name} missing"))
     for f in schema.fields:
-        wrong = f.wrong_type(F.col(f"_k_{f.name}"), F.col(f"_t_{f.name}"))
-        found.append((oddly_shaped & F.col(f"_k_{f.name}").isNotNull() & wrong, f.type_code,
-                      F.lit(f"{SCHEMA_FAILURE}{f.name} is not of type {f.accepts}")))
-    surplus = F.array_except(F.call_function("json_object_keys", F.col("_text")),
-                             F.array(*[F.lit(n) for n in schema.names]))
-    found.append((oddly_shaped & (F.size(surplus) > 0), "extra_field",
-                  F.concat(F.lit(SCHEMA_FAILURE + "additional fields "), F.array_join(surplus, ", "))))
-    value_checks = [(f.name, c) for f in schema.fields for c in f.checks] + list(extra)
-    accepts = {f.name: f for f in schema.fields}
-    for name, check in value_checks:
-        text, kind_col = F.col(f"_t_{name}"), F.col(f"_k_{name}")
-        broken = check.broken(text)
-        if independent:
-            typed = kind_col.isNull() | ~accepts[name].wrong_type(kind_col, text)
-            broken = text.isNotNull() & typed & broken
-        found.append((broken, check.code, F.lit(SCHEMA_FAILURE + check.reason)))
+        found.append((is_object & wrong[f.name], f.type_code,
+                      f"{SCHEMA_FAILURE}{f.name} is not of type {f.accepts}"))
+    found.append((is_object & (F.size("_found.surplus") > 0), "extra_field",
+                  SCHEMA_FAILURE + "additional fields "))
+    for name, check in schema.value_checks(extra):
+        found.append((is_object & ~wrong[name] & check.broken(F.col(f"_t_{name}")), check.code,
+                      SCHEMA_FAILURE + check.reason))
     return found
 
 
+def _findings(schema: MessageSchema) -> Column:
+    """What the rules look at: whether the text is one JSON value and an object, the type of
+    each field, and the names of unknown fields."""
+    sealed, whole = F.col("_sealed"), intact(F.col("_sealed"), F.col("_text"))
+    is_object = whole & F.coalesce(kind(sealed).startswith("OBJECT"), F.lit(False))
+    surplus = F.filter(F.call_function("json_object_keys", F.col("_text")),
+                       lambda name: ~name.isin(*schema.names))
+    return F.struct(whole.alias("whole"), is_object.alias("is_object"), surplus.alias("surplus"),
+                    *[kind(sealed, n).alias(n) for n in schema.names])
+
+
+def _clean(schema: MessageSchema, extra: Sequence[tuple[str, Check]]) -> Column:
+    """Whether a message obeys all rules, with few comparisons: what nearly all messages do.
+
+    One comparison of the whole shape stands for: intact JSON object, all fields, all types and
+    no other field.
+    """
+    if schema.plain_shape is None:
+        return F.lit(False)
+    rules = [F.col("_utf8"), F.col("_shape") == sealed_shape(schema.plain_shape),
+             F.col("_hash") == F.xxhash64("_text")]
+    rules += [~check.broken(F.col(f"_t_{name}")) for name, check in schema.value_checks(extra)]
+    return F.coalesce(reduce(Column.__and__, rules), F.lit(False))
+
+
 def check_messages(
     df: DataFrame,
     schema: MessageSchema,
@@ -190,39 +207,41 @@ def check_messages(
     """Append ``rule``, ``failure_reason`` and the schema's output columns to ``df``.
 
     Each message is parsed once, also under a later filter on ``rule``: see ``computed_once``.
+    The rules are only tried one by one on messages that fail the quick check, and yield short
+    codes; the reason is looked up by code. The lambda in ``_findings`` ends the stage of
+    generated code, so that the part every message runs stays below the 8000 bytes up to which
+    the JVM compiles a method.
     """
     kept = df.columns
     binary = dict(df.dtypes)[value] == "binary"
     raw = F.col(value).cast("string")
-    plain = schema.plain_shape
-    odd = F.lit(True) if plain is None else ~F.col("_shape").eqNullSafe(F.lit(plain))
-
+    names = schema.names
     parsed = (
         df.select(*kept,
                   (F.is_valid_utf8(raw) if binary else F.lit(True)).alias("_utf8"),
                   (F.make_valid_utf8(raw) if binary else raw).alias("_text"))
         .withColumn("_sealed", sealed_parse(F.col("_text")))
-        .withColumn("_payload", payload(F.col("_sealed"), F.col("_text")))
-        .withColumn("_shape", F.schema_of_variant("_payload"))
-        .select(*kept, "_utf8", "_text", "_shape",
-                *[text_of(F.col("_payload"), n).alias(f"_t_{n}") for n in schema.names],
-                *[F.when(odd, kind(F.col("_payload"), n)).alias(f"_k_{n}") for n in schema.names])
+        .select(*kept, "_utf8", "_text", "_sealed",
+                F.schema_of_variant("_sealed").alias("_shape"), sealed_hash(F.col("_sealed")).alias("_hash"),
+                *[text_of(F.col("_sealed"), n).alias(f"_t_{n}") for n in names])
     )
-    texts = parsed.columns
-    parsed = parsed.select(*texts, *[build().alias(f"_o_{n}") for n, build in schema.outputs.items()])
-    failures = _failures(schema, extra_checks, independent=all_rules)
-    first = F.coalesce(*[
-        F.when(cond, F.struct(F.lit(code).alias("rule"),
-                              F.left(text, F.lit(REASON_MAX_CHARS)).alias("reason")))
-        for cond, code, text in failures
-    ])
-    columns = [F.col("_first.rule").alias(rule), F.col("_first.reason").alias(reason)]
+    parsed = parsed.select(
+        *parsed.columns, *[build().alias(f"_o_{n}") for n, build in schema.outputs.items()])
+    parsed = parsed.withColumn("_clean", _clean(schema, extra_checks)).withColumn(
+        "_found", F.when(~F.col("_clean"), _findings(schema)))
+    failures = _failures(schema, extra_checks)
+    first = F.coalesce(*[F.when(condition, F.lit(code)) for condition, code, _ in failures])
+    judged = parsed.withColumn("_rule", F.when(~F.col("_clean"), first))
+    reasons = F.create_map(*[F.lit(x) for _, code, text in failures for x in (code, text)])
+    detail = F.when(F.col("_rule") == "extra_field", F.array_join("_found.surplus", ", "))
+    text = F.concat(reasons[F.col("_rule")], F.coalesce(detail, F.lit("")))
+    columns = [F.col("_rule").alias(rule), F.left(text, F.lit(REASON_MAX_CHARS)).alias(reason)]
     if all_rules:
-        every = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code, _ in failures]))
-        columns.append(every.alias("all_rules"))
+        every = F.array_compact(F.array(*[F.when(condition, F.lit(code)) for condition, code, _ in failures]))
+        columns.append(F.when(~F.col("_clean"), every).otherwise(F.array().cast("array<string>"))
+                       .alias("all_rules"))
     columns += [F.col(f"_o_{name}").alias(name) for name in schema.outputs]
-    return computed_once(
-        parsed.withColumn("_first", first), [c for c in kept if c not in schema.outputs], columns)
+    return computed_once(judged, [c for c in kept if c not in schema.outputs], columns)
 
 
 def validate_logs(
@@ -261,11 +280,9 @@ def malformed_pct(validated: DataFrame) -> DataFrame:
 
 def message_key(df: DataFrame, value: str = "value") -> DataFrame:
     """Routing key of each message: its service, or the stand-in key when there is none."""
-    text = F.col(value).cast("string")
-    parsed = df.withColumn("_sealed", sealed_parse(text)).withColumn(
-        "_payload", payload(F.col("_sealed"), text))
-    key = F.coalesce(text_of(F.col("_payload"), "service"), F.lit(UNKNOWN_SERVICE_KEY))
-    return computed_once(parsed, df.columns, [key.alias("message_key")])
+    with_service = with_fields(df.withColumn("_value", F.col(value)), "_value", ["service"])
+    key = F.coalesce("service", F.lit(UNKNOWN_SERVICE_KEY))
+    return with_service.select(*df.columns, key.alias("message_key"))
 
 
 __all__ = [
