@@ -42,12 +42,14 @@ def kind(sealed: Column, field: str | None = None) -> Column:
     return F.schema_of_variant(F.try_variant_get(sealed, path, "variant"))
 
 
-def intact(sealed: Column, text: Column) -> Column:
-    """Whether ``text`` is exactly one JSON value, with nothing before or behind it."""
-    return F.coalesce(
-        (sealed_hash(sealed) == F.xxhash64(text))
-        & (F.schema_of_variant(sealed) == F.concat(F.lit("OBJECT<h: BIGINT, v: "), kind(sealed), F.lit(">"))),
-        F.lit(False))
+def intact(digest: Column, shape: Column, content: Column, text: Column) -> Column:
+    """Whether ``text`` is exactly one JSON value, with nothing before or behind it.
+
+    ``digest``, ``shape`` and ``content`` are the sealed value's hash, its type name and that of
+    its content.
+    """
+    sealed_content = F.concat(F.lit("OBJECT<h: BIGINT, v: "), content, F.lit(">"))
+    return F.coalesce((digest == F.xxhash64(text)) & (shape == sealed_content), F.lit(False))
 
 
 # RFC 3339 date-time with a mandatory zone. try_to_timestamp alone accepts '2025'.
@@ -73,5 +75,8 @@ def with_fields(df: DataFrame, source: str, fields: Sequence[str]) -> DataFrame:
     """Add top-level fields of the JSON in ``source`` as text columns, NULL if there are none."""
     text = F.col(source).cast("string")
     parsed = df.withColumn("_sealed", sealed_parse(text)).withColumn(
-        "_content", F.when(intact(F.col("_sealed"), text), F.col("_sealed")))
+        "_content", F.when(
+            intact(sealed_hash(F.col("_sealed")), F.schema_of_variant("_sealed"),
+                   kind(F.col("_sealed")), text),
+            F.col("_sealed")))
     return computed_once(parsed, df.columns, [text_of(F.col("_content"), f).alias(f) for f in fields])

@@ -173,8 +173,9 @@ def _failures(schema: MessageSchema, extra: Sequence[tuple[str, Check]]) -> list
 def _findings(schema: MessageSchema) -> Column:
     """What the rules look at: whether the text is one JSON value and an object, the type of
     each field, and the names of unknown fields."""
-    sealed, whole = F.col("_sealed"), intact(F.col("_sealed"), F.col("_text"))
-    is_object = whole & F.coalesce(kind(sealed).startswith("OBJECT"), F.lit(False))
+    sealed, content = F.col("_sealed"), kind(F.col("_sealed"))
+    whole = intact(F.col("_hash"), F.col("_shape"), content, F.col("_text"))
+    is_object = whole & F.coalesce(content.startswith("OBJECT"), F.lit(False))
     surplus = F.filter(F.call_function("json_object_keys", F.col("_text")),
                        lambda name: ~name.isin(*schema.names))
     return F.struct(whole.alias("whole"), is_object.alias("is_object"), surplus.alias("surplus"),
