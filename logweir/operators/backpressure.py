@@ -95,10 +95,12 @@ def partition_flags(
 
     A plain aggregate with map-side combine: the last mark decides, no scan in order is needed.
     """
-    marks = samples.withColumn("_mark", mark(high, low, lag_high)).filter(F.col("_mark").isNotNull())
-    last = marks.groupBy(KEY).agg(F.max_by("_mark", F.struct(*ORDER)).alias("_mark"))
-    seen = samples.select(KEY).distinct()
-    flags = seen.join(last, KEY, "left").select(KEY, (F.col("_mark") == 1).alias("paused"))
+    order = F.when(F.col("_mark").isNotNull(), F.struct(*ORDER))  # NULL order: not a candidate
+    flags = (
+        samples.withColumn("_mark", mark(high, low, lag_high))
+        .groupBy(KEY).agg(F.max_by("_mark", order).alias("_mark"))
+        .select(KEY, (F.col("_mark") == 1).alias("paused"))
+    )
     if seeds is not None:
         earlier = seeds.select(KEY, F.col("paused").alias("_earlier"))
         flags = flags.join(earlier, KEY, "full").select(

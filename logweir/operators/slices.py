@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 SLICE_SECONDS = 60
 SLICE_MAX_ROWS = 2_000_000
+CUTS = 2
 
 
 def _slice_start(micros: Column, width: int) -> Column:
@@ -30,30 +31,34 @@ def with_time_slices(
 ) -> DataFrame:
     """Add ``slice`` (bigint, never decreasing in time within a key).
 
-    A slice with more than ``max_rows`` rows is cut further in proportion to its size, down to
-    single microseconds. The table of such slices has at most rows / max_rows entries (250,000
-    for 5e11 rows), which is the bound behind its broadcast.
+    A slice with more than ``max_rows`` rows is cut in proportion to its size, and what is then
+    still crowded is cut once more; that reaches single microseconds if need be. Each round
+    looks up the table of crowded slices, which has at most rows / max_rows entries (250,000 for
+    5e11 rows): the bound behind its broadcast.
     """
     width = seconds * 1_000_000
     micros = F.unix_micros(time_col)
     sliced = df.withColumn("slice", _slice_start(micros, width))
     if max_rows is None:
         return sliced
-    crowded = (
-        sliced.groupBy(*keys, "slice").agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > max_rows)
-        .select(*keys, "slice", F.greatest(
-            F.lit(1).cast("bigint"),
-            F.call_function("div", F.lit(width).cast("bigint") * max_rows, F.col("_rows")))
-            .alias("_step"))
-    )
-    offset = micros - F.col("slice")
-    return (
-        sliced.join(F.broadcast(crowded), [*keys, "slice"], "left")
-        .withColumn("slice", F.col("slice") + F.coalesce(
-            offset - F.pmod(offset, F.col("_step")), F.lit(0).cast("bigint")))
-        .drop("_step")
-    )
+    one = F.lit(1).cast("bigint")
+    sliced = sliced.withColumn("_width", F.lit(width).cast("bigint"))
+    for _ in range(CUTS):
+        step = F.call_function("div", F.col("_width").cast("decimal(20,0)") * max_rows, F.col("_rows"))
+        crowded = (
+            sliced.groupBy(*keys, "slice", "_width").agg(F.count(F.lit(1)).alias("_rows"))
+            .filter((F.col("_rows") > max_rows) & (F.col("_width") > 1))
+            .select(*keys, "slice", F.greatest(one, step).alias("_step"))
+        )
+        offset = micros - F.col("slice")
+        sliced = (
+            sliced.join(F.broadcast(crowded), [*keys, "slice"], "left")
+            .withColumn("slice", F.when(F.col("_step").isNull(), F.col("slice")).otherwise(
+                micros - F.pmod(offset, F.col("_step"))))
+            .withColumn("_width", F.coalesce("_step", "_width"))
+            .drop("_step")
+        )
+    return sliced.drop("_width")
 
 
 def with_previous(

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(),
+    "BINARY": T.BinaryType(), "TIMESTAMP": T.TimestampType(),
+    "DECIMAL(10,2)": T.DecimalType(10, 2), "DECIMAL(5,2)": T.DecimalType(5, 2),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from "name TYPE, name TYPE"; unlike DDL parsing it needs no session."""
+    pairs = [column.split(" ") for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # What a Kafka source delivers; file and batch inputs use the same layout.

@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQueryListener
 from logweir.settings import LOG_TOPIC
 
 _PROGRESS = (
-    "timestamp STRING, sources ARRAY<STRUCT<endOffset: MAP<STRING, MAP<INT, BIGINT>>, "
-    "latestOffset: MAP<STRING, MAP<INT, BIGINT>>>>"
+    "timestamp STRING, sources ARRAY<STRUCT<endOffset: MAP<STRING, MAP<STRING, BIGINT>>, "
+    "latestOffset: MAP<STRING, MAP<STRING, BIGINT>>>>"
 )
 
 
@@ -27,9 +27,11 @@ def offsets_from_progress(spark: SparkSession, reports: Sequence[str]) -> DataFr
     sources = parsed.select(
         F.try_to_timestamp("p.timestamp").alias("recorded_at"), F.explode("p.sources").alias("s"))
     topics = sources.select("recorded_at", "s.latestOffset", F.explode("s.endOffset").alias("topic", "ends"))
-    return topics.select("recorded_at", "topic", "latestOffset", F.explode("ends").alias("partition_id", "committed")).select(
-        "topic", "partition_id", "recorded_at", "committed",
-        F.col("latestOffset")[F.col("topic")][F.col("partition_id")].alias("high"))
+    ends = topics.select(
+        "topic", "recorded_at", "latestOffset", F.explode("ends").alias("partition", "committed"))
+    return ends.select(
+        "topic", F.col("partition").cast("int").alias("partition_id"), "recorded_at", "committed",
+        F.col("latestOffset")[F.col("topic")][F.col("partition")].alias("high"))
 
 
 def of_log_topic(offsets: DataFrame, topic: str = LOG_TOPIC) -> DataFrame:

@@ -10,6 +10,6 @@ from logweir.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cores=4)
+    session = local_session("tests", cores=4, **{"spark.sql.maxMetadataStringLength": "2000"})
     yield session
     session.stop()
