@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.operators.slices import SLICE_MAX_ROWS, SLICE_SECONDS, with_previous, with_time_slices
+from logweir.operators.slices import SLICE_MAX_ROWS, SLICE_SECONDS, with_previous, with_slices
 from logweir.settings import BUFFER_HIGH_WATER, BUFFER_LOW_WATER
 
 KEY = "partition_id"
@@ -37,13 +37,13 @@ def _marked(
 ) -> DataFrame:
     """Samples at a mark with ``_was_paused``, the flag before each of them."""
     marks = samples.withColumn("_mark", mark(high, low, lag_high)).filter(F.col("_mark").isNotNull())
-    sliced = with_time_slices(marks, [KEY], "ts", slice_seconds, slice_max_rows)
+    sliced = with_slices(marks, [KEY], ORDER, slice_seconds, slice_max_rows)
     if seeds is not None:
         seeds = seeds.select(KEY, F.col("paused").cast("int").alias("_mark"))
     return (
         with_previous(sliced, [KEY], ORDER, "_mark", "_before", seeds)
         .withColumn("_was_paused", F.coalesce("_before", F.lit(0)) == 1)
-        .drop("_before", "slice")
+        .drop("_before")
     )
 
 

@@ -1,8 +1,8 @@
-"""Cutting long ordered sequences into time slices.
+"""Cutting long ordered sequences into slices.
 
 An ordered scan per key (state carried from row to row) would put all rows of a key into one
-task. Here a key's rows are cut into time slices; each slice is scanned on its own and the state
-at a slice boundary is carried through a table with one row per slice.
+task. Here a key's rows are cut into slices along their order; each slice is scanned on its own
+and the state at a slice boundary is carried through a table with one row per slice.
 """
 
 from __future__ import annotations
@@ -15,50 +15,69 @@ from pyspark.sql import functions as F
 
 SLICE_SECONDS = 60
 SLICE_MAX_ROWS = 2_000_000
-CUTS = 2
+CUTS = 3
+SLICE = ("slice", "sub_slice")
 
 
-def _slice_start(micros: Column, width: int) -> Column:
-    return micros - F.pmod(micros, F.lit(width).cast("bigint"))
+def _steps(low: Column, high: Column, rows: Column, max_rows: int) -> Column:
+    """Width of the pieces that cut low..high into about rows / max_rows pieces."""
+    span = (high - low + 1).cast("decimal(20,0)") * max_rows
+    return F.greatest(F.lit(1).cast("bigint"), F.call_function("div", span, rows))
 
 
-def with_time_slices(
+def _floor(value: Column, low: Column, step: Column) -> Column:
+    return value - F.pmod(value - low, step)
+
+
+def with_slices(
     df: DataFrame,
     keys: Sequence[str],
-    time_col: str = "ts",
+    order: tuple[str, str],
     seconds: int = SLICE_SECONDS,
     max_rows: int | None = SLICE_MAX_ROWS,
 ) -> DataFrame:
-    """Add ``slice`` (bigint, never decreasing in time within a key).
+    """Add ``slice, sub_slice`` (bigint), which never decrease along ``order`` within a key.
+
+    ``order`` is a timestamp and a unique bigint that breaks its ties. Slices are ``seconds``
+    long to begin with. Where one holds more than ``max_rows`` rows, the range of time it really
+    covers is cut in proportion; rows of one and the same instant are cut by the range of their
+    tie-breaker. Two more rounds do the same to what is still crowded: each narrows a piece by
+    the factor it is overfull, so they reach single instants where it matters.
 
-    A slice with more than ``max_rows`` rows is cut in proportion to its size, and what is then
-    still crowded is cut once more; that reaches single microseconds if need be. Each round
-    looks up the table of crowded slices, which has at most rows / max_rows entries (250,000 for
-    5e11 rows): the bound behind its broadcast.
+    The table of crowded slices has at most rows / max_rows entries (250,000 for 5e11 rows),
+    which is the bound behind its broadcast.
     """
-    width = seconds * 1_000_000
-    micros = F.unix_micros(time_col)
-    sliced = df.withColumn("slice", _slice_start(micros, width))
+    micros, tie = F.unix_micros(order[0]), F.col(order[1])
+    width = F.lit(seconds * 1_000_000).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    sliced = df.withColumn("slice", _floor(micros, zero, width)).withColumn("sub_slice", zero)
     if max_rows is None:
         return sliced
-    one = F.lit(1).cast("bigint")
-    sliced = sliced.withColumn("_width", F.lit(width).cast("bigint"))
+    low, step = F.col("_low"), F.col("_step")
+    tie_low, tie_step = F.col("_tie_low"), F.col("_tie_step")
     for _ in range(CUTS):
-        step = F.call_function("div", F.col("_width").cast("decimal(20,0)") * max_rows, F.col("_rows"))
         crowded = (
-            sliced.groupBy(*keys, "slice", "_width").agg(F.count(F.lit(1)).alias("_rows"))
-            .filter((F.col("_rows") > max_rows) & (F.col("_width") > 1))
-            .select(*keys, "slice", F.greatest(one, step).alias("_step"))
+            sliced.groupBy(*keys, *SLICE)
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min(micros).alias("_low"),
+                 F.max(micros).alias("_high"), F.min(tie).alias("_tie_low"),
+                 F.max(tie).alias("_tie_high"))
+            .filter(F.col("_rows") > max_rows)
+            .select(*keys, *SLICE, "_low", "_tie_low",
+                    F.when(F.col("_high") > low, _steps(low, F.col("_high"), F.col("_rows"), max_rows))
+                    .alias("_step"),
+                    _steps(tie_low, F.col("_tie_high"), F.col("_rows"), max_rows).alias("_tie_step"))
         )
-        offset = micros - F.col("slice")
+        by_time = step.isNotNull()
+        by_tie = step.isNull() & tie_step.isNotNull()
         sliced = (
-            sliced.join(F.broadcast(crowded), [*keys, "slice"], "left")
-            .withColumn("slice", F.when(F.col("_step").isNull(), F.col("slice")).otherwise(
-                micros - F.pmod(offset, F.col("_step"))))
-            .withColumn("_width", F.coalesce("_step", "_width"))
-            .drop("_step")
+            sliced.join(F.broadcast(crowded), [*keys, *SLICE], "left")
+            .withColumns({
+                "slice": F.when(by_time, _floor(micros, low, step)).otherwise(F.col("slice")),
+                "sub_slice": F.when(by_tie, _floor(tie, tie_low, tie_step)).otherwise(F.col("sub_slice")),
+            })
+            .drop("_low", "_step", "_tie_low", "_tie_step")
         )
-    return sliced.drop("_width")
+    return sliced
 
 
 def with_previous(
@@ -74,18 +93,17 @@ def with_previous(
     ``seeds`` (keys + value) supplies the value before a key's first row. ``value`` must not be
     NULL. The window and the join use the same partitioning, so the rows are shuffled once.
     """
-    within = W.partitionBy(*keys, "slice").orderBy(*order)
-    ends = sliced.groupBy(*keys, "slice").agg(
-        F.max_by(value, F.struct(*order)).alias("_end"))
+    within = W.partitionBy(*keys, *SLICE).orderBy(*order)
+    ends = sliced.groupBy(*keys, *SLICE).agg(F.max_by(value, F.struct(*order)).alias("_end"))
     if seeds is not None:
         before_all = F.lit(-(2**63)).cast("bigint")
-        ends = ends.unionByName(
-            seeds.select(*keys, before_all.alias("slice"), F.col(value).alias("_end")))
-    across = W.partitionBy(*keys).orderBy("slice")
-    carried = ends.select(*keys, "slice", F.lag("_end").over(across).alias("_carried"))
+        ends = ends.unionByName(seeds.select(
+            *keys, *[before_all.alias(part) for part in SLICE], F.col(value).alias("_end")))
+    across = W.partitionBy(*keys).orderBy(*SLICE)
+    carried = ends.select(*keys, *SLICE, F.lag("_end").over(across).alias("_carried"))
     return (
         sliced.withColumn("_inside", F.lag(value).over(within))
-        .join(carried, [*keys, "slice"])
+        .join(carried, [*keys, *SLICE])
         .withColumn(out, F.coalesce("_inside", "_carried"))
-        .drop("_inside", "_carried")
+        .drop("_inside", "_carried", *SLICE)
     )

@@ -29,6 +29,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread evenly by a unique key if the files give fewer tasks than there are cores.
+
+    Parsing dominates what follows, so a single small file should not keep it on one core. Tables
+    with more splits than cores are left as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -56,7 +66,7 @@ def _pair(name: str, text: Column) -> Column:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, partition_id, ts, key, value: messages as a producer would have sent them."""
-    e = events(spark, sf_dir)
+    e = spread(events(spark, sf_dir).drop("props"), "event_id")
     kind = F.col("event_id") % 20
     message = F.concat(
         "event_type", F.lit(" user_id="), F.col("user_id").cast("string"), F.lit(" value="),
@@ -148,7 +158,7 @@ def delivery_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents sent as log messages: long, multilingual, with quotes and line breaks."""
-    d = documents(spark, sf_dir)
+    d = spread(documents(spark, sf_dir).drop("n_chars"), "doc_id")
     body = F.struct(
         F.lit("2024-01-01T00:00:00.000Z").alias("timestamp"),
         F.col("source").alias("service"),

@@ -7,19 +7,19 @@ import pytest
 
 from logweir.operators import backpressure as bp
 from logweir.operators import lag
-from logweir.operators.slices import with_time_slices
+from logweir.operators.slices import with_slices
 
 T0 = datetime(2024, 1, 1)
 SAMPLES = "event_id long, partition_id int, ts timestamp, depth long"
 
 
 def make_samples(seed, n=1500):
-    """A third of all samples share one second of one partition."""
+    """A third of all samples share one second of one partition, half of these one instant."""
     rng = random.Random(seed)
     rows = []
     for i in range(n):
         crowded = i % 3 == 0
-        at = timedelta(microseconds=rng.randrange(1_000_000)) if crowded else timedelta(
+        at = timedelta(microseconds=0 if i % 2 else rng.randrange(1_000_000)) if crowded else timedelta(
             seconds=rng.randrange(40_000))
         rows.append((i, 0 if crowded else rng.randrange(4), T0 + at,
                      rng.choice([rng.randrange(250), rng.randrange(200, 1000), rng.randrange(900, 1500)])))
@@ -43,7 +43,7 @@ def loop(rows, paused=()):
     return states, sorted(turns), paused
 
 
-@pytest.mark.parametrize("max_rows", [None, 20])
+@pytest.mark.parametrize("max_rows", [None, 3])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_states_equal_the_loop(spark, seed, max_rows):
     rows = make_samples(seed)
@@ -73,12 +73,14 @@ def test_flags_carry_over(spark):
 
 
 def test_crowded_slices_are_cut_in_order(spark):
-    df = with_time_slices(spark.createDataFrame(make_samples(4), SAMPLES), ["partition_id"], max_rows=20)
-    rows = sorted(df.collect(), key=lambda r: (r["partition_id"], r["ts"]))
+    df = with_slices(spark.createDataFrame(make_samples(4), SAMPLES), ["partition_id"],
+                     ("ts", "event_id"), max_rows=2)
+    rows = sorted(df.collect(), key=lambda r: (r["partition_id"], r["ts"], r["event_id"]))
     for a, b in zip(rows, rows[1:]):
-        assert a["partition_id"] != b["partition_id"] or a["slice"] <= b["slice"]
-    sizes = df.groupBy("partition_id", "slice").count().agg({"count": "max"}).first()[0]
-    assert sizes < 100  # 500 samples of one second
+        assert a["partition_id"] != b["partition_id"] or (
+            (a["slice"], a["sub_slice"]) <= (b["slice"], b["sub_slice"]))
+    sizes = df.groupBy("partition_id", "slice", "sub_slice").count().agg({"count": "max"}).first()[0]
+    assert sizes <= 10  # 500 samples of one second, 250 of them of one instant
 
 
 def test_lag_bound_counts_as_high(spark):
