@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from logweir.functions.rates import ratio
 from logweir.settings import LOG_GAP_SECONDS
@@ -20,8 +21,9 @@ def log_gaps(logs: DataFrame, seconds: int = LOG_GAP_SECONDS, time_col: str = "l
 
     Two timestamps in one cell of ``seconds`` width are never that far apart, so a gap always
     lies between the last timestamp of one cell and the first of the next non-empty cell. The
-    logs are reduced to one row per cell (combined on the map side) and only cells are put in
-    order: per day, with the end of the previous non-empty day carried over.
+    logs are reduced to one row per cell (combined on the map side), the cells to one row per
+    day; gaps inside a day are found among its cells, gaps between days among the days. Both
+    read the same shuffle of cells, so the logs are scanned once.
     """
     width = F.lit(seconds * 1_000_000).cast("bigint")
     micros = F.unix_micros(time_col)
@@ -30,15 +32,18 @@ def log_gaps(logs: DataFrame, seconds: int = LOG_GAP_SECONDS, time_col: str = "l
         .agg(F.min(micros).alias("first"), F.max(micros).alias("last"))
         .withColumn("day", F.col("cell") - F.pmod(F.col("cell"), F.lit(DAY_MICROS)))
     )
-    days = cells.groupBy("day").agg(F.max("last").alias("_end"))
-    carried = days.select("day", F.lag("_end").over(W.orderBy("day")).alias("_carried"))
-    before = F.coalesce(F.lag("last").over(W.partitionBy("day").orderBy("cell")), F.col("_carried"))
+    days = cells.groupBy("day").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     gap = F.col("first") - F.col("before")
-    return (
-        cells.join(carried, "day").withColumn("before", before).filter(gap > width)
-        .select(F.timestamp_micros("before").alias("gap_start"),
-                F.timestamp_micros("first").alias("gap_end"), gap.alias("gap_micros"))
-    )
+
+    def gaps(stretches: DataFrame, in_order: WindowSpec) -> DataFrame:
+        return (
+            stretches.withColumn("before", F.lag("last").over(in_order)).filter(gap > width)
+            .select(F.timestamp_micros("before").alias("gap_start"),
+                    F.timestamp_micros("first").alias("gap_end"), gap.alias("gap_micros"))
+        )
+
+    within = gaps(cells, W.partitionBy("day").orderBy("cell"))
+    return within.unionByName(gaps(days, W.orderBy("day")))
 
 
 def _discrete_quantile(rank: Column, total: Column, value: Column, percent: int) -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from logweir.session import cut_lineage
+
 SLICE_SECONDS = 60
 SLICE_MAX_ROWS = 2_000_000
 CUTS = 3
@@ -44,8 +46,10 @@ def with_slices(
     tie-breaker. Two more rounds do the same to what is still crowded: each narrows a piece by
     the factor it is overfull, so they reach single instants where it matters.
 
-    The table of crowded slices has at most rows / max_rows entries (250,000 for 5e11 rows),
-    which is the bound behind its broadcast.
+    Whether a round is needed depends on the data, so each starts with a job that counts rows
+    per slice (combined on the map side); usually it is the only one. The table of crowded
+    slices has at most rows / max_rows entries (250,000 for 5e11 rows), which is the bound behind
+    its broadcast. It is checkpointed, since later steps must all cut in the same way.
     """
     micros, tie = F.unix_micros(order[0]), F.col(order[1])
     width = F.lit(seconds * 1_000_000).cast("bigint")
@@ -67,6 +71,9 @@ def with_slices(
                     .alias("_step"),
                     _steps(tie_low, F.col("_tie_high"), F.col("_rows"), max_rows).alias("_tie_step"))
         )
+        if crowded.isEmpty():
+            break
+        crowded = cut_lineage(crowded)
         by_time = step.isNotNull()
         by_tie = step.isNull() & tie_step.isNotNull()
         sliced = (

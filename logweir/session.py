@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -35,12 +37,15 @@ def local_session(app: str = "logweir", cores: int = 8, **conf: str) -> SparkSes
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    The files live in shared storage, so the result survives the loss of any executor.
+    The files live in shared storage, so the result survives the loss of any executor. Only a
+    local session, where all tasks share one machine, falls back to a folder of its own.
     """
-    spark = df.sparkSession
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        if not named:
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get(CHECKPOINT_CONF, None)
+        if not folder and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="logweir-checkpoint-")
+        if not folder:
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        spark.sparkContext.setCheckpointDir(named)
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=eager)
