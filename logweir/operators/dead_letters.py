@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from logweir.operators.validation import (
     check_messages,
     validate_logs,
 )
+from logweir.session import cut_lineage
 from logweir.settings import (
     HIGH_RETRY_COUNT,
     PAGE_LIMIT,
@@ -203,3 +205,29 @@ def replay(
         "id", "failed_at", "original_message", "failure_reason", "retry_count",
         F.lit(False).alias("recovered"), F.lit("PENDING").alias("status"))
     return attempted.unionByName(skipped)
+
+
+def retry(
+    messages: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    failed_at: Column,
+    max_retries: int = RETRY_MAX,
+    value: str = "value",
+) -> tuple[DataFrame, DataFrame]:
+    """Apply ``transform`` up to ``max_retries + 1`` times to what has not succeeded yet.
+
+    ``transform`` returns its rows with ``failure_reason`` (NULL = done). Gives the processed
+    rows and the dead letters, the latter with ``max_retries`` and the last reason. Each attempt
+    is checkpointed, so it runs once however often its outcome is read. Waiting between the
+    attempts is left to the caller's schedule (``retry_schedule``).
+    """
+    done: list[DataFrame] = []
+    left = messages
+    for _ in range(max_retries + 1):
+        tried = cut_lineage(transform(left.select(*messages.columns)))
+        done.append(tried.filter(F.col("failure_reason").isNull()))
+        left = tried.filter(F.col("failure_reason").isNotNull())
+        if left.isEmpty():
+            break
+    letters = dead_letter_rows(left, failed_at, value, max_retries)
+    return reduce(DataFrame.unionByName, done).drop("failure_reason"), letters

@@ -12,6 +12,7 @@ from logweir.operators import (
     backpressure, dead_letters, feed, lag, metrics, quality, scenarios, search, trends, validation)
 from logweir.plans import inputs
 from logweir.plans.inputs import HOUR
+from logweir.sinks.tables import decimals_as_doubles
 from logweir.sources.retention import retained
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register a query under its name, in presentation form: decimals become doubles."""
+    QUERIES[fn.__name__] = lambda spark, sf_dir: decimals_as_doubles(fn(spark, sf_dir))
     return fn
 
 

@@ -453,3 +453,22 @@ expectations(scenario, metric, test, bound) AS (VALUES
   ('slow_consumer', 'resume_events', '>', 0), ('slow_consumer', 'unaccounted_messages', '=', 0),
   ('worker_failure', 'log_gaps', '=', 0), ('worker_failure', 'max_latest_lag', '<', 100))"""),
 }
+
+# Decimal columns, which the catalog presents as doubles.
+_DECIMALS = {
+    "malformed_pct": ("malformed_pct",),
+    "throughput_windows": ("messages_per_sec",), "throughput_recent": ("messages_per_sec",),
+    "error_rate_windows": ("error_rate_pct",), "errors_recent": ("error_rate_pct",),
+    "throughput_summary": ("current_rate", "peak_rate", "average_rate"),
+    "error_by_service": ("error_rate_pct",), "error_breakdown": ("error_rate_pct",),
+    "error_overall": ("overall_error_rate_pct",), "slo_breaches": ("error_rate_pct",),
+    "severity_mix": ("share_pct",), "throughput_change": ("change_pct",),
+    "throughput_pivot": ("auth-service", "payment-service", "api-gateway", "db-proxy"),
+    "error_pivot": ("auth-service", "payment-service", "api-gateway", "db-proxy"),
+    "partition_overview": ("messages_per_hour",), "dlq_stats": ("average_retry_count",),
+    "delivery_stats": ("delivered_per_hour",),
+}
+
+for _name, _columns in _DECIMALS.items():
+    _casts = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM (\n{ORACLES[_name]})"

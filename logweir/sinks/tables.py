@@ -78,17 +78,18 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def as_doubles(df: DataFrame) -> DataFrame:
-    """Presentation form: decimals as doubles, timestamps as ISO-8601 text, NULLs kept."""
-    def shown(name: str, kind: str) -> Column:
-        if kind.startswith("decimal"):
-            return F.col(name).cast("double").alias(name)
-        if kind == "timestamp":
-            return F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias(name)
-        return F.col(name)
+def decimals_as_doubles(df: DataFrame) -> DataFrame:
+    decimals = [n for n, kind in df.dtypes if kind.startswith("decimal")]
+    return df.withColumns({n: F.col(f"`{n}`").cast("double") for n in decimals}) if decimals else df
+
 
-    return df.select(*[shown(n, k) for n, k in df.dtypes])
+def presented(df: DataFrame) -> DataFrame:
+    """Presentation form: decimals as doubles, timestamps as ISO-8601 text, NULLs kept."""
+    times = [n for n, kind in df.dtypes if kind == "timestamp"]
+    texts = {n: F.date_format(n, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") for n in times}
+    shown = decimals_as_doubles(df)
+    return shown.withColumns(texts) if texts else shown
 
 
 __all__ = ["write_batch", "write_days", "read_table", "since", "processed_rows", "lag_snapshot",
-           "export_json", "as_doubles"]
+           "export_json", "decimals_as_doubles", "presented"]

@@ -100,3 +100,23 @@ def test_records_for_kafka(spark):
     sent = dead_letter_records(letters(spark, [("x", "r", 0)])).first()
     assert (sent["topic"], sent["key"]) == ("logs-dlq", None)
     assert kafka_write_options("b:9092")["kafka.acks"] == "all"
+
+
+def test_retry_stops_after_its_last_attempt(spark):
+    df = spark.createDataFrame([(i, f"m{i}") for i in range(6)], "id long, value string")
+    calls = []
+
+    def flaky(rows):
+        """Attempt k succeeds for ids up to k; id 5 never does in time."""
+        calls.append(len(calls))
+        reason = F.when(F.col("id") > calls[-1], F.lit(f"attempt {calls[-1]} failed"))
+        return rows.withColumn("failure_reason", reason)
+
+    done, dead = dl.retry(df, flaky, F.lit(T0), max_retries=3)
+    assert len(calls) == 4
+    assert sorted(r["id"] for r in done.collect()) == [0, 1, 2, 3]
+    assert sorted((r["id"], r["retry_count"], r["failure_reason"]) for r in dead.collect()) == [
+        (4, 3, "attempt 3 failed"), (5, 3, "attempt 3 failed")]
+    calls.clear()
+    done, dead = dl.retry(df.filter("id = 0"), flaky, F.lit(T0))
+    assert (len(calls), done.count(), dead.count()) == (1, 1, 0)

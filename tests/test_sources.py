@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweir.session import cut_lineage
-from logweir.sinks.tables import as_doubles, export_json
+from logweir.sinks.tables import export_json, presented
 from logweir.sources.database import jdbc_options, split_by
 from logweir.sources.retention import retained
 from logweir.sources.streams import kafka_read_options, of_topic, with_record_id
@@ -58,7 +58,7 @@ def test_retention(spark):
 def test_presentation_and_export(spark, tmp_path):
     df = spark.createDataFrame([(Decimal("1.50"), datetime(2024, 1, 1), None)],
                                "rate decimal(10,2), at timestamp, consumer_id string")
-    row = as_doubles(df).first()
+    row = presented(df).first()
     assert tuple(row) == (1.5, "2024-01-01T00:00:00.000000+00:00", None)
     export_json(df, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).first()["rate"] == 1.5
