@@ -30,6 +30,7 @@ from logweir.settings import (
 SCHEMA_FAILURE = "JSON schema validation failed: "
 DECODE_FAILURE = "Deserialization error: "
 
+_USUAL_TYPE = {"string": "STRING", "integer": "BIGINT", "object or string": "STRING"}
 _WHOLE_NUMBER = r"\A(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT)\z"
 
 
@@ -76,11 +77,10 @@ class MessageSchema:
         return [(f.name, c) for f in self.fields for c in f.checks] + list(extra)
 
     @property
-    def plain_shape(self) -> str | None:
-        """The variant type of a well-shaped message, when every field is a string."""
-        if any(f.accepts != "string" for f in self.fields):
-            return None
-        return "OBJECT<" + ", ".join(f"{n}: STRING" for n in sorted(self.names)) + ">"
+    def plain_shape(self) -> str:
+        """The variant type of a message in its usual form: every field with its usual type."""
+        return "OBJECT<" + ", ".join(
+            f"{f.name}: {_USUAL_TYPE[f.accepts]}" for f in sorted(self.fields, key=lambda f: f.name)) + ">"
 
 
 def _length_outside(low: int, high: int) -> Callable[[Column], Column]:
@@ -188,8 +188,6 @@ def _clean(schema: MessageSchema, extra: Sequence[tuple[str, Check]]) -> Column:
     One comparison of the whole shape stands for: intact JSON object, all fields, all types and
     no other field.
     """
-    if schema.plain_shape is None:
-        return F.lit(False)
     rules = [F.col("_utf8"), F.col("_shape") == sealed_shape(schema.plain_shape),
              F.col("_hash") == F.xxhash64("_text")]
     rules += [~check.broken(F.col(f"_t_{name}")) for name, check in schema.value_checks(extra)]
