@@ -98,9 +98,11 @@ def _tagged(parts: Mapping[str, DataFrame], name: str) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """Messages seen at each pipeline stage, given what each stage holds."""
-    return _tagged(stages, "stage").groupBy("stage").agg(F.count(F.lit(1)).alias("messages"))
+def stage_counts(stages: Mapping[str, DataFrame], seconds: int) -> DataFrame:
+    """Messages at each pipeline stage and their mean rate over ``seconds``, given what each holds."""
+    counts = _tagged(stages, "stage").groupBy("stage").agg(F.count(F.lit(1)).alias("messages"))
+    rate = ratio(F.col("messages"), F.lit(seconds), 4, "decimal(14,4)")
+    return counts.withColumn("messages_per_sec", rate)
 
 
 def reconcile_counts(produced: DataFrame, processed: DataFrame, letters: DataFrame) -> DataFrame:

@@ -399,7 +399,7 @@ def stage_counts(spark, d):
     decodable = checked.filter(~F.coalesce(F.col("rule"), F.lit("")).isin("invalid_utf8", "invalid_json"))
     return quality.stage_counts({
         "ingest": inputs.raw_logs(spark, d), "consume": decodable, "process": valid,
-        "store": valid.select("event_id").union(letters.select("id"))})
+        "store": valid.select("event_id").union(letters.select("id"))}, seconds=30 * 24 * HOUR)
 
 
 @query
