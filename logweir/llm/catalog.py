@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import simhash
+from logweir.llm import decontaminate, packing, simhash
 from logweir.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file lies on this machine and, by the same install, on executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_simhash(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_decontamination(spark, d):
+    scanned = decontaminate.scan_documents(table(spark, d, "documents").select("doc_id", "text"),
+                                           table(spark, d, "benchmark"), result="c")
+    return scanned.select(
+        "doc_id", F.col("c.n_words").alias("n_words"), F.size("c.positions").cast("long").alias("n_hit"),
+        F.size("c.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("c.items", ","), 256).alias("items_sha256"),
+        (F.size("c.positions") > 0).alias("contaminated"))
+
+
+@query
+def op10_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"), tokenizer("word_bpe_49k.json"))

@@ -1,3 +1,25 @@
 """The same queries in DuckDB SQL, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+_NORMAL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLES: dict[str, str] = {
+    "op5_decontamination": f"""
+WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_NORMAL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+g AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+            FROM b WHERE len(w) > 0)),
+p AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+            FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)),
+h AS (SELECT doc_id, n, i, item FROM p JOIN g USING (n, gram)),
+c AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h)
+      GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+}
