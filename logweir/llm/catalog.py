@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, packing, simhash
+from logweir.llm import decontaminate, langid, packing, quality, simhash
+from logweir.llm.common import held_out
 from logweir.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,24 @@ def op1_simhash(spark, d):
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op3_language_id(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    apart = held_out(F.col("doc_id"), 4, 2)
+    model = langid.fit(docs.filter(~apart))
+    return langid.identify(docs, model, result="l").select(
+        "doc_id", apart.alias("held_out"), "l.lang_pred", "l.score")
+
+
+@query
+def op4_quality(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    apart = held_out(F.col("doc_id"), 4, 2)
+    model = quality.fit(docs, table(spark, d, "labels").filter(~apart))
+    return quality.score_quality(docs, model).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op5_decontamination(spark, d):
     scanned = decontaminate.scan_documents(table(spark, d, "documents").select("doc_id", "text"),
