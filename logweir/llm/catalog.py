@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, langid, packing, quality, simhash
+from logweir.llm import decontaminate, langid, packing, pii, quality, simhash
 from logweir.llm.common import held_out
 from logweir.session import pin_utc
 
@@ -66,6 +66,12 @@ def op5_decontamination(spark, d):
         (F.size("c.positions") > 0).alias("contaminated"))
 
 
+@query
+def op8_pii(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, key="a key for these tables", count="n_entities")
+
+
 @query
 def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer("word_bpe_49k.json"))
