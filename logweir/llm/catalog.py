@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, langid, packing, pii, ppm, quality, simhash
+from logweir.llm import decontaminate, langid, nearest, packing, pii, ppm, quality, simhash
 from logweir.llm.common import held_out
 from logweir.session import pin_utc
 
@@ -66,6 +66,12 @@ def op5_decontamination(spark, d):
         (F.size("c.positions") > 0).alias("contaminated"))
 
 
+@query
+def op6_nearest(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return nearest.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op7_lm_scoring(spark, d):
     return ppm.score_documents(table(spark, d, "documents"), ~held_out(F.col("doc_id"), 7, 2))
