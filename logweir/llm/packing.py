@@ -6,6 +6,7 @@ import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,9 +18,10 @@ from logweir.llm.common import stored
 CAPACITY = 4096
 END_ID = 1
 #: Rows that are numbered together. A length with more rows is numbered in several groups.
-NUMBERED_TOGETHER = 500_000
+NUMBERED_TOGETHER = 10_000
 #: Chunks that a worker keeps the ids of, and the longest such chunk.
 CHUNKS_KEPT, CHUNK_CHARS = 300_000, 64
+STOPS = (".", ",")
 #: Bits for a rank; the length stands above them in one 64-bit number.
 RANK_BITS = 44
 PIECES = "piece int, start long, length long, ids_crc32 long"
@@ -46,20 +48,32 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [[] if t is None else t.replace("\n", " ").split(" ") for t in texts]
-        known = self.recent
+        known, passing = self.recent, {}
         missing = {c for chunks in split for c in chunks}.difference(known)
-        for c in [c for c in missing if c in self.older]:
+        # A stop or comma behind a Latin letter is a token of its own.
+        ended = [c for c in missing if c[-1:] in STOPS and c[-2:-1].isalpha() and c[-2] < "\u0250"]
+        units = missing.difference(ended).union((c[:-1] for c in ended), STOPS).difference(known)
+        for c in [c for c in units if c in self.older]:
             known[c] = self.older[c]
-            missing.discard(c)
-        passing = self._learn([c for c in missing if len(c) > CHUNK_CHARS])
-        known |= self._learn([c for c in missing if len(c) <= CHUNK_CHARS])
-        find = (known | passing if passing else known).__getitem__
+            units.discard(c)
+        known |= self._learn([c for c in units if len(c) <= CHUNK_CHARS])
+        passing |= self._learn([c for c in units if len(c) > CHUNK_CHARS])
+        for c in ended:
+            stem = c[:-1]
+            (known if len(stem) <= CHUNK_CHARS else passing)[c] = (known.get(stem) or passing[stem]) + known[c[-1]]
+        find = ({**known, **passing} if passing else known).__getitem__
         out = [b"".join(map(find, chunks)) for chunks in split]
         if len(known) > CHUNKS_KEPT:
             self.older, self.recent = known, {}
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker process, which serves one task after another."""
+    return Encoder(path)
+
+
 def cut(ids: bytes, capacity: int, end_id: int) -> list[tuple[int, int, int, int]]:
     """piece, start, length, crc32 of the pieces of one document; its end id is added here."""
     ids += int(end_id).to_bytes(4, "little")
@@ -73,10 +87,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     """The id column and piece, start, length, ids_crc32: what is packed. Null text: empty."""
     @F.pandas_udf(f"array<struct<{PIECES.replace(' ', ':').replace(',:', ',')}>>")
     def pieces_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(tokenizer_path)
+        own = encoder(tokenizer_path)
         for texts in batches:
             yield pd.Series([[dict(zip(("piece", "start", "length", "ids_crc32"), p)) for p in cut(ids, capacity, end_id)]
-                             for i in range(0, len(texts), 256) for ids in encoder.encode(list(texts[i:i + 256]))])
+                             for i in range(0, len(texts), 256) for ids in own.encode(list(texts[i:i + 256]))])
 
     return docs.select(F.col(id_col), F.explode(pieces_of(F.col(text_col))).alias("p")).select(id_col, "p.*")
 
