@@ -34,18 +34,23 @@ def local_session(app: str = "logweir", cores: int = 8, **conf: str) -> SparkSes
     return spark
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, which all executors share.
 
-    The files live in shared storage, so the result survives the loss of any executor. Only a
-    local session, where all tasks share one machine, falls back to a folder of its own.
+    A local session that names none gets a folder of its own, as in tests; elsewhere it must be set.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_CONF, None)
-        if not folder and context.master.startswith("local"):
+        folder = spark.conf.get(CHECKPOINT_CONF, None)
+        if not folder and (context.master == "local" or context.master.startswith("local[")):
             folder = tempfile.mkdtemp(prefix="logweir-checkpoint-")
         if not folder:
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint in the shared folder, so that the result survives any executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
