@@ -243,11 +243,13 @@ def replaced(text: Column, found: Column) -> Column:
     return F.array_join(F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(found, i), F.lit("")))), "")
 
 
-def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count: str | None = None) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count: str | None = None,
+                  n_chars: str | None = None) -> DataFrame:
     """``docs`` with every entity in ``text_col`` replaced by its surrogate.
 
     All other columns, and rows without an entity, stay as they are; null texts stay null. With
-    ``count``, a column of that name (replaced, if there is one) gives the number of entities.
+    ``count``, a column of that name (replaced, if there is one) gives the number of entities; with
+    ``n_chars``, a column of that name that holds the length of the text follows a changed text.
     Rows are matched to their surrogates by a digest of the list of their entities, so ids are not
     needed, copies are looked up once, and a popular entity is joined through the distinct lists.
     """
@@ -265,6 +267,8 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count: str
             .select(F.col("key").alias(mark + "key"), F.col("made.surrogate").alias(mark + "made")))
     changed = (hit.withColumn(mark + "key", key_of).join(made, mark + "key")
                .withColumn(text_col, replaced(text, F.col(f"`{mark}made`"))))
+    if n_chars:
+        changed = changed.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType))
     columns = [F.col(f"`{c}`") for c in docs.columns if c != count]
     number = lambda n: [n.cast("long").alias(count)] if count else []
     return plain.select(*columns, *number(F.lit(0))).unionByName(changed.select(*columns, *number(F.size(listed))))
