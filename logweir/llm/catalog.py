@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, langid, nearest, packing, pii, ppm, quality, simhash
+from logweir.llm import decontaminate, langid, nearest, packing, pii, ppm, quality, simhash, substring, suffix
 from logweir.llm.common import held_out
 from logweir.session import pin_utc
 
@@ -37,6 +37,12 @@ def op1_simhash(spark, d):
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op2_substring(spark, d):
+    found = substring.without_repeats(table(spark, d, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_language_id(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
@@ -83,6 +89,12 @@ def op8_pii(spark, d):
     return pii.pseudonymised(docs, key="a key for these tables", count="n_entities")
 
 
+@query
+def op9_suffix_array(spark, d):
+    found = suffix.without_repeats(table(spark, d, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer("word_bpe_49k.json"))
