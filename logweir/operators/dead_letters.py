@@ -69,6 +69,25 @@ def parse_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
             .drop("envelope_rule", "envelope_reason"))
 
 
+def received_letters(df: DataFrame, received_at: Column, value: str = "value") -> DataFrame:
+    """dlq_log rows of all DLQ messages.
+
+    One that breaks the envelope schema is kept whole: its text as the original message, the rule
+    it breaks as the reason, no retries, and the time it was received.
+    """
+    raw = F.make_valid_utf8(F.col(value).cast("string")) if dict(df.dtypes)[value] == "binary" else F.col(value)
+    broken = F.col("envelope_rule").isNotNull()
+    reason = F.left(F.concat(F.lit("invalid envelope: "), F.coalesce("envelope_reason", "envelope_rule")),
+                    F.lit(REASON_MAX_CHARS))
+    checked = check_envelopes(df.withColumn("_whole", raw).withColumn("_received", received_at.cast("timestamp")), value)
+    return checked.withColumns({
+        "original_message": F.when(broken, F.coalesce("_whole", F.lit(""))).otherwise(F.col("original_message")),
+        "failure_reason": F.when(broken, reason).otherwise(F.col("failure_reason")),
+        "retry_count": F.when(broken, F.lit(0)).otherwise(F.col("retry_count")),
+        "failed_at": F.when(broken, F.col("_received")).otherwise(F.col("failed_at")),
+    }).drop("envelope_rule", "envelope_reason", "_whole", "_received")
+
+
 def enrich(letters: DataFrame) -> DataFrame:
     """Add service, severity, trace_id and message recovered from the original message.
 

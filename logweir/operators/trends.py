@@ -13,7 +13,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir.functions.text import clock_label
-from logweir.settings import KNOWN_SERVICES
 
 
 def throughput_change(throughput: DataFrame) -> DataFrame:
@@ -22,12 +21,14 @@ def throughput_change(throughput: DataFrame) -> DataFrame:
     NULL for the first window of a service.
     """
     previous = F.lag("message_count").over(W.partitionBy("service").orderBy("window_start"))
-    now, before = F.col("message_count"), F.col("previous_count")
+    now, before = (F.col(c).cast("decimal(20,0)") for c in ("message_count", "previous_count"))
     # Half away from zero on whole numbers: sign * (|change| * 1000 + half) / before, one digit.
-    tenths = F.call_function("div", F.abs(now - before) * 2000 + before, before * 2)
+    # Decimals of these widths hold any jump between two 64-bit counts.
+    doubled = F.abs(now - before) * F.lit(2000).cast("decimal(4,0)") + before
+    tenths = F.floor(F.try_divide(doubled, before * F.lit(2).cast("decimal(1,0)")))
     signed = F.when(now < before, -tenths).otherwise(tenths)
     tenth = F.lit("0.1").cast("decimal(2,1)")
-    change = (signed.cast("decimal(18,0)") * tenth).cast("decimal(12,1)")
+    change = (signed.cast("decimal(24,0)") * tenth).cast("decimal(25,1)")
     return (
         throughput.withColumn("previous_count", previous)
         .select("window_start", "service", "message_count", "previous_count",
@@ -36,12 +37,20 @@ def throughput_change(throughput: DataFrame) -> DataFrame:
 
 
 def series_by_service(
-    windows: DataFrame, value: str, services: Sequence[str] = KNOWN_SERVICES
+    windows: DataFrame, value: str, services: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per window, one column per service. The explicit list saves a job."""
+    """One row per window, one column per service.
+
+    The services are those of the data, found by a job of its own. A given list saves that job,
+    and a service outside it is an error rather than a column that is silently missing.
+    """
+    if services is not None:
+        listed = F.col("service").isin(*services) | F.col("service").isNull()
+        windows = windows.withColumn("service", F.when(listed, F.col("service")).otherwise(
+            F.raise_error(F.concat(F.lit("service without a column: "), "service"))))
     return (
         windows.groupBy("window_start")
-        .pivot("service", list(services))
+        .pivot("service", None if services is None else list(services))
         .agg(F.first(value, ignorenulls=True))
         .withColumn("label", clock_label(F.col("window_start")))
     )

@@ -12,6 +12,7 @@ from logweir.operators import (
     backpressure, dead_letters, feed, lag, metrics, quality, scenarios, search, trends, validation)
 from logweir.plans import inputs
 from logweir.plans.inputs import HOUR
+from logweir.settings import DLQ_RETENTION_HOURS, RECENT_DLQ
 from logweir.sinks.tables import decimals_as_doubles
 from logweir.sources.retention import retained
 
@@ -422,6 +423,23 @@ def retained_logs(spark, d):
     return retained(inputs.valid_logs(spark, d), "log_ts", 24, AS_OF).drop("ts")
 
 
+@query
+def retained_dlq(spark, d):
+    return retained(inputs.dlq_log(spark, d), "failed_at", DLQ_RETENTION_HOURS, AS_OF)
+
+
+@query
+def recent_dlq(spark, d):
+    return dead_letters.page(inputs.dlq_log(spark, d), limit=RECENT_DLQ)
+
+
+@query
+def dlq_all_envelopes(spark, d):
+    """Good envelopes and, in turn, envelopes that break each kind of rule: all are kept."""
+    return dead_letters.received_letters(inputs.dlq_messages(spark, d), F.col("ts")).select(
+        "event_id", "original_message", "failure_reason", "retry_count", "failed_at")
+
+
 @query
 def scenario_report(spark, d):
     readings = inputs.lag_readings(spark, d)

@@ -71,9 +71,9 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.concat(
         "event_type", F.lit(" user_id="), F.col("user_id").cast("string"), F.lit(" value="),
         F.col("value").cast("decimal(10,2)").cast("string"))
-    severity = F.when(kind == BAD_SEVERITY, "UNKNOWN_SEVERITY").otherwise(
+    severity = F.when(kind == BAD_SEVERITY, "LOUD").otherwise(
         severity_of(F.col("event_type"), F.col("value")))
-    trace = F.when(kind == BAD_TRACE, "invalid-trace-id-with-hyphens-and-too-short").otherwise(
+    trace = F.when(kind == BAD_TRACE, "trace of nobody").otherwise(
         F.md5(F.col("event_id").cast("string")))
     pairs = F.concat_ws(
         ", ",
@@ -82,11 +82,11 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind != NO_SERVICE, _pair("service", service_of(F.col("user_id")))),
         _pair("severity", severity),
         F.when(kind == OBJECT_MESSAGE, F.lit(
-            '"message": {"nested_error": "message is an object instead of string"}'))
+            '"message": {"lines": 2, "body": ["a", "b"]}'))
         .otherwise(_pair("message", message)),
         _pair("trace_id", trace),
     )
-    value = F.when(kind == BROKEN_JSON, "{invalid_json_payload: missing_quotes}").otherwise(
+    value = F.when(kind == BROKEN_JSON, '{"severity": INFO, "message" "no colon"').otherwise(
         F.concat(F.lit("{"), pairs, F.lit("}")))
     key = F.when(kind == NO_SERVICE, UNKNOWN_SERVICE_KEY).otherwise(service_of(F.col("user_id")))
     return e.select("event_id", partition_of(F.col("user_id")).alias("partition_id"), "ts",
@@ -114,6 +114,18 @@ def dlq_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "failure_reason", F.col("n").alias("retry_count"))
 
 
+def dlq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, ts, value: DLQ messages, of which some break a rule, by event_id % 6."""
+    kind, number = F.col("event_id") % 6, F.col("event_id").cast("string")
+    pairs = F.concat(
+        F.lit('{"original_message": "lost '), number, F.lit('", "failure_reason": "'), F.when(kind == 2, "").otherwise("late"),
+        F.lit('", "retry_count": '), F.when(kind == 1, "11").otherwise("2"),
+        F.when(kind == 3, ', "note": 1').otherwise(""),
+        F.when(kind == 4, "").otherwise(', "failed_at": "2024-01-02T03:04:05.000Z"'))
+    value = F.when(kind == 5, F.concat(F.lit("letter "), number)).otherwise(F.concat(pairs, F.lit("}")))
+    return events(spark, sf_dir).select("event_id", "ts", value.alias("value"))
+
+
 def schema_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the messages rejected by the schema, straight from the operator."""
     rejected = invalid_only(validated(spark, sf_dir)).withColumn("id", F.col("event_id"))

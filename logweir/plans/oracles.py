@@ -20,15 +20,15 @@ base AS (
 raw AS (
   SELECT event_id, partition_id, ts,
          CASE WHEN kind = 9 THEN 'unknown-service' ELSE sender END AS key,
-         CASE WHEN kind = 13 THEN '{invalid_json_payload: missing_quotes}' ELSE
+         CASE WHEN kind = 13 THEN '{"severity": INFO, "message" "no colon"' ELSE
            '{'
            || CASE WHEN kind = 3 THEN '' ELSE '"timestamp": "' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || '", ' END
            || CASE WHEN kind = 9 THEN '' ELSE '"service": "' || sender || '", ' END
-           || '"severity": "' || CASE WHEN kind = 5 THEN 'UNKNOWN_SEVERITY' ELSE level END || '", '
-           || CASE WHEN kind = 11 THEN '"message": {"nested_error": "message is an object instead of string"}'
+           || '"severity": "' || CASE WHEN kind = 5 THEN 'LOUD' ELSE level END || '", '
+           || CASE WHEN kind = 11 THEN '"message": {"lines": 2, "body": ["a", "b"]}'
                    ELSE '"message": "' || event_type || ' user_id=' || CAST(user_id AS VARCHAR)
                         || ' value=' || CAST(CAST(amount AS DECIMAL(10,2)) AS VARCHAR) || '"' END
-           || ', "trace_id": "' || CASE WHEN kind = 7 THEN 'invalid-trace-id-with-hyphens-and-too-short'
+           || ', "trace_id": "' || CASE WHEN kind = 7 THEN 'trace of nobody'
                                         ELSE md5(CAST(event_id AS VARCHAR)) END || '"}' END AS value
   FROM base)"""
 
@@ -422,6 +422,31 @@ WHERE event_id NOT IN (SELECT event_id FROM valid WHERE event_id NOT IN (SELECT
   AND event_id NOT IN (SELECT event_id FROM judged WHERE rule IS NOT NULL)"""),
     "retained_logs": _sql(
         CHECKED, "SELECT * FROM valid WHERE log_ts >= TIMESTAMP '2024-01-31' - INTERVAL 24 HOUR"),
+    "retained_dlq": _sql(LETTERS, f"""
+SELECT {_LETTER_COLUMNS} FROM letters WHERE failed_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY"""),
+    "recent_dlq": _sql(LETTERS, f"""
+SELECT {_LETTER_COLUMNS} FROM letters ORDER BY failed_at DESC, id DESC LIMIT 6"""),
+    "dlq_all_envelopes": """
+WITH sent AS (
+  SELECT event_id, ts, event_id % 6 AS kind,
+         CASE WHEN event_id % 6 = 5 THEN 'letter ' || event_id ELSE
+           '{"original_message": "lost ' || event_id || '", "failure_reason": "'
+           || CASE WHEN event_id % 6 = 2 THEN '' ELSE 'late' END || '", "retry_count": '
+           || CASE WHEN event_id % 6 = 1 THEN '11' ELSE '2' END
+           || CASE WHEN event_id % 6 = 3 THEN ', "note": 1' ELSE '' END
+           || CASE WHEN event_id % 6 = 4 THEN '' ELSE ', "failed_at": "2024-01-02T03:04:05.000Z"' END || '}'
+         END AS value
+  FROM events)
+SELECT event_id, CASE WHEN kind = 0 THEN 'lost ' || event_id ELSE value END AS original_message,
+       CASE kind WHEN 0 THEN 'late'
+         WHEN 1 THEN 'invalid envelope: JSON schema validation failed: retry_count must be between 0 and 10'
+         WHEN 2 THEN 'invalid envelope: JSON schema validation failed: failure_reason must have 1 to 1024 characters'
+         WHEN 3 THEN 'invalid envelope: JSON schema validation failed: additional fields note'
+         WHEN 4 THEN 'invalid envelope: JSON schema validation failed: failed_at missing'
+         ELSE 'invalid envelope: Deserialization error: invalid JSON' END AS failure_reason,
+       CAST(CASE WHEN kind = 0 THEN 2 ELSE 0 END AS INT) AS retry_count,
+       CASE WHEN kind = 0 THEN TIMESTAMP '2024-01-02 03:04:05' ELSE ts END AS failed_at
+FROM sent""",
     "scenario_report": _sql(HOURLY, """
 SELECT scenario, metric, test || ' ' || CAST(bound AS VARCHAR) AS expected, actual,
        CASE test WHEN '<' THEN actual < bound WHEN '<=' THEN actual <= bound WHEN '=' THEN actual = bound

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 # Message contract.
-LOG_FIELDS = ("timestamp", "service", "severity", "message", "trace_id")
 SEVERITIES = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
 ERROR_SEVERITIES = ("ERROR", "CRITICAL")
 KNOWN_SERVICES = ("auth-service", "payment-service", "api-gateway", "db-proxy")

@@ -18,10 +18,15 @@ DAY = "day"
 BATCH = "batch_id"
 
 
+def day_of(time: Column) -> Column:
+    """The UTC day of an instant, independent of the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(time) / 86_400_000_000).cast("int"))
+
+
 def write_batch(df: DataFrame, path: str, time_col: str, batch_id: int) -> None:
     """Write (or replace) one micro-batch's partitions of a table."""
     (
-        df.withColumn(DAY, F.to_date(time_col)).withColumn(BATCH, F.lit(batch_id))
+        df.withColumn(DAY, day_of(F.col(time_col))).withColumn(BATCH, F.lit(batch_id))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY, BATCH).parquet(path)
     )
@@ -33,7 +38,7 @@ def write_days(df: DataFrame, path: str, time_col: str) -> None:
     Rebalancing sizes the files; it splits a day that holds most of the rows. It needs adaptive
     execution, without which it would put each day into one task, so it is skipped then.
     """
-    rows = df.withColumn(DAY, F.to_date(time_col))
+    rows = df.withColumn(DAY, day_of(F.col(time_col)))
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", DAY)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -51,7 +56,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def since(df: DataFrame, time_col: str, start: datetime | Column) -> DataFrame:
     """Rows from ``start`` on, with the partition filter spelled out."""
     at = (start if isinstance(start, Column) else F.lit(start)).cast("timestamp")
-    return df.filter((F.col(DAY) >= F.to_date(at)) & (F.col(time_col) >= at))
+    return df.filter((F.col(DAY) >= day_of(at)) & (F.col(time_col) >= at))
 
 
 def processed_rows(valid: DataFrame) -> DataFrame:
@@ -91,5 +96,5 @@ def presented(df: DataFrame) -> DataFrame:
     return shown.withColumns(texts) if texts else shown
 
 
-__all__ = ["write_batch", "write_days", "read_table", "since", "processed_rows", "lag_snapshot",
+__all__ = ["day_of", "write_batch", "write_days", "read_table", "since", "processed_rows", "lag_snapshot",
            "export_json", "decimals_as_doubles", "presented"]

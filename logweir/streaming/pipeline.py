@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from logweir import schemas
-from logweir.operators.dead_letters import dead_letter_rows, parse_envelopes
+from logweir.operators.dead_letters import dead_letter_rows, received_letters
 from logweir.operators.metrics import error_rate_windows, throughput_windows, window_counts
 from logweir.operators.validation import invalid_only, valid_only, validate_logs
 from logweir.settings import DLQ_TOPIC, LOG_TOPIC, WINDOW_SECONDS
@@ -48,14 +48,15 @@ class Pipeline:
         """Store one micro-batch. Repeating a batch replaces what it stored before."""
         if batch.isEmpty():
             return
-        records = with_record_id(batch)
+        records = with_record_id(batch).persist(StorageLevel.MEMORY_AND_DISK)  # one read of the source
         checked = validate_logs(
             of_topic(records, LOG_TOPIC).withColumnRenamed("timestamp", "arrived_at"),
             known_services=self.known_services,
         ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rejected = dead_letter_rows(invalid_only(checked), F.col("arrived_at"))
-            received = parse_envelopes(of_topic(records, DLQ_TOPIC)).select(*schemas.DLQ_LOG.names)
+            letters = of_topic(records, DLQ_TOPIC).withColumnRenamed("timestamp", "arrived_at")
+            received = received_letters(letters, F.col("arrived_at")).select(*schemas.DLQ_LOG.names)
             valid = valid_only(checked)
             tables.write_batch(tables.processed_rows(valid), self.path("processed_logs"), "log_ts", batch_id)
             if self.publish is None:
@@ -68,6 +69,7 @@ class Pipeline:
             tables.write_batch(deltas, self.path("window_deltas"), "window_start", batch_id)
         finally:
             checked.unpersist()
+            records.unpersist()
 
     def start(
         self, records: DataFrame, checkpoint: str, every: str | None = None, name: str | None = None

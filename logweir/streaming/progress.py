@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections import deque
+import json
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from logweir.settings import LOG_TOPIC
+from logweir.operators.lag import consumer_lag
+from logweir.settings import LAG_POLL_SECONDS, LOG_TOPIC
+from logweir.sinks import tables
 
 _PROGRESS = (
     "timestamp STRING, sources ARRAY<STRUCT<endOffset: MAP<STRING, MAP<STRING, BIGINT>>, "
@@ -48,17 +51,37 @@ def observe_delivery(df: DataFrame, failed: Column, name: str = "delivery") -> D
         F.count_if(failed).alias("failed"))
 
 
-class ProgressLog(StreamingQueryListener):
-    """Keeps the newest progress reports of the session's streams as JSON."""
+class LagSampler(StreamingQueryListener):
+    """Appends the lag in the progress reports of the session's streams to metrics_consumer_lag.
 
-    def __init__(self, keep: int = 1000) -> None:
-        self.reports: deque[str] = deque(maxlen=keep)
+    Nothing is held back or forgotten: a report becomes rows when it arrives. Reports of one query
+    that follow a stored one within ``every`` seconds are not polls of their own. A report that is
+    repeated after a restart replaces its rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, topic: str = LOG_TOPIC,
+                 consumer_id: str | None = None, every: int = LAG_POLL_SECONDS) -> None:
+        self.spark, self.path, self.topic = spark, path, topic
+        self.consumer_id, self.every = consumer_id, every
+        self.stored_at: dict[str, datetime] = {}
+
+    def store(self, query_id: str, batch_id: int, report: str) -> None:
+        at = datetime.fromisoformat(json.loads(report)["timestamp"].replace("Z", "+00:00"))
+        last = self.stored_at.get(query_id)
+        if last is not None and 0 <= (at - last).total_seconds() < self.every:
+            return
+        offsets = of_log_topic(offsets_from_progress(self.spark, [report]), self.topic)
+        keys = ["topic", "partition_id", "recorded_at"]
+        lags = consumer_lag(offsets.select(*keys, "committed"), offsets.select(*keys, "high"), keys)
+        rows = tables.lag_snapshot(lags, F.col("recorded_at"), self.consumer_id)
+        tables.write_batch(rows, self.path, "recorded_at", batch_id)
+        self.stored_at[query_id] = at
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.reports.append(event.progress.json)
+        self.store(str(event.progress.id), event.progress.batchId, event.progress.json)
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -17,7 +17,7 @@ from logweir.sources.streams import file_stream
 from logweir.streaming.backpressure import BackpressureTracker
 from logweir.streaming.feed import LiveFeed
 from logweir.streaming.pipeline import Pipeline
-from logweir.streaming.progress import ProgressLog, observe_delivery, offsets_from_progress
+from logweir.streaming.progress import LagSampler, observe_delivery, offsets_from_progress
 from logweir.streaming.windows import latest_version, streaming_counts
 
 T0 = datetime(2024, 1, 1, 23, 58)
@@ -193,8 +193,54 @@ def test_delivery_is_observed(spark, tmp_path):
     assert seen.get == {"attempted": 10, "delivered": 7, "failed": 3}
 
 
-def test_progress_log_is_bounded():
-    log = ProgressLog(keep=2)
-    for text in "abc":
-        log.onQueryProgress(type("E", (), {"progress": type("P", (), {"json": text})}))
-    assert list(log.reports) == ["b", "c"]
+def test_lag_samples_reach_their_table(spark, tmp_path):
+    path = str(tmp_path / "metrics_consumer_lag")
+
+    def report(second, ends):
+        return json.dumps({"timestamp": f"2024-01-01T00:00:{second:02d}.000Z", "sources": [{
+            "endOffset": {"logs": {"0": ends}}, "latestOffset": {"logs": {"0": 100}}}]})
+
+    sampler = LagSampler(spark, path)
+    for batch, (second, ends) in enumerate([(0, 10), (10, 20), (30, 40), (59, 50)]):
+        sampler.store("q", batch, report(second, ends))
+    again = LagSampler(spark, path)  # after a restart the last batch reports once more
+    again.store("q", 2, report(30, 40))
+    stored = tables.read_table(spark, path, schemas.METRICS_CONSUMER_LAG)
+    assert sorted(r["lag"] for r in stored.collect()) == [60, 90]
+
+
+def test_no_dead_letter_is_lost(spark, tmp_path):
+    good = {"original_message": "x", "failure_reason": "late", "retry_count": 3, "failed_at": "2024-01-01T00:00:00Z"}
+    texts = [json.dumps(good), json.dumps({**good, "original_message": {"a": 1}}), json.dumps({**good, "retry_count": 11}),
+             json.dumps({**good, "note": 1}), json.dumps({**good, "failure_reason": ""}), "letter"]
+    rows = [(None, t.encode(), "logs-dlq", 0, n, T0) for n, t in enumerate(texts)] + [(None, b"\xff", "logs-dlq", 1, 0, T0)]
+    pipeline = Pipeline(str(tmp_path))
+    pipeline.process(spark.createDataFrame(rows, schemas.KAFKA_RECORD), 0)
+    assert pipeline.dlq_log(spark).count() == len(rows)
+
+
+def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
+    path, zone = str(tmp_path / "t"), spark.conf.get("spark.sql.session.timeZone")
+    ddl = "log_ts timestamp, n int"
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.sql("SELECT timestamp_micros(1704164400000000) AS log_ts, 1 AS n")  # 2024-01-02T03:00Z
+        tables.write_batch(df, path, "log_ts", 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    stored = tables.read_table(spark, path, spark.createDataFrame([], ddl).schema)
+    assert [str(r["day"]) for r in stored.collect()] == ["2024-01-02"]
+    assert tables.since(stored, "log_ts", F.timestamp_micros(F.lit(1704153600000000))).count() == 1
+
+
+def test_pivot_and_change_take_what_comes(spark):
+    from decimal import Decimal
+
+    from logweir.operators.trends import series_by_service, throughput_change
+    rows = [(T0, "billing", 1), (T0 + timedelta(hours=1), "billing", 2_000_000_000), (T0, "db-proxy", 5)]
+    df = spark.createDataFrame(rows, "window_start timestamp, service string, message_count long")
+    assert series_by_service(df, "message_count").columns == ["window_start", "billing", "db-proxy", "label"]
+    with pytest.raises(Exception, match="service without a column: billing"):
+        series_by_service(df, "message_count", ["db-proxy"]).collect()
+    changes = {r["change_pct"] for r in throughput_change(df).collect()}
+    assert changes == {None, Decimal("199999999900.0")}
