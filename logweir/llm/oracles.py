@@ -21,5 +21,32 @@ t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+""",
+    "op2_substring": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+r AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(range(i, i + 35)) AS k FROM s SEMI JOIN r USING (g))),
+p AS (SELECT doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM p ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+""",
+    "op9_suffix_array": """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g
+      FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k
+                                         FROM s JOIN f USING (g) WHERE first < doc_id)),
+b AS (SELECT doc_id, k, substr(h, 2 * k + 1, 2) AS byte FROM (SELECT doc_id, h, unnest(range(0, n)) AS k FROM d)),
+kept AS (SELECT doc_id, string_agg(byte, '' ORDER BY k) AS t FROM b ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id),
+r AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < k - 1) AS n_spans
+      FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM gone) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN r USING (doc_id)
 """,
 }
