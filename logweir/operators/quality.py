@@ -46,8 +46,28 @@ def log_gaps(logs: DataFrame, seconds: int = LOG_GAP_SECONDS, time_col: str = "l
     return within.unionByName(gaps(days, W.orderBy("day")))
 
 
-def _discrete_quantile(rank: Column, total: Column, value: Column, percent: int) -> Column:
-    return F.min(F.when(rank * 100 >= total * percent, value))
+QUANTILES = (50, 95, 99)
+
+
+def _delay_bucket(delay: Column) -> Column:
+    """An order-preserving bucket of a delay: its ten leading bits and how many follow.
+
+    There are at most 2 * 64 * 1024 buckets, however far delays spread; those below 1024 ms have
+    one each.
+    """
+    size = F.abs(delay)
+    behind = F.greatest(F.lit(0), F.length(F.bin(size)) - 10)
+    bucket = behind * 1024 + F.call_function("shiftright", size, behind)
+    return F.when(delay < 0, -bucket).otherwise(bucket)
+
+
+def _bucket_of(percent: int) -> Column:
+    """From sorted ``buckets`` (bucket, n): the first whose running count reaches the quantile."""
+    start = F.struct(F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("bucket"))
+    return F.aggregate("buckets", start, lambda at, x: F.when(at["bucket"].isNotNull(), at).when(
+        (at["below"] + x["n"]) * 100 >= F.col("messages") * percent,
+        F.struct(at["below"].alias("below"), x["bucket"].alias("bucket"))).otherwise(
+        F.struct((at["below"] + x["n"]).alias("below"), at["bucket"].alias("bucket"))))
 
 
 def ingest_delay(
@@ -56,23 +76,28 @@ def ingest_delay(
 ) -> DataFrame:
     """Delay between log time and ingestion in milliseconds per service: exact quantiles.
 
-    Messages are first counted per service and delay, so the ranking runs over distinct delays.
+    Messages are counted per service and delay, and these counts per bucket of delays. A bounded
+    list of buckets tells which of them holds a quantile; only that bucket's delays are ranked.
     """
     delay = F.call_function("div", F.unix_micros(arrival_time) - F.unix_micros(event_time),
                             F.lit(1000).cast("bigint"))
-    histogram = logs.groupBy(by, delay.alias("delay_ms")).agg(F.count(F.lit(1)).alias("n"))
-    upto = W.partitionBy(by).orderBy("delay_ms").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = histogram.withColumn("_rank", F.sum("n").over(upto))
-    totals = histogram.groupBy(by).agg(F.sum("n").alias("_total"))
-    rank, total, value = F.col("_rank"), F.col("_total"), F.col("delay_ms")
-    return ranked.join(totals, by).groupBy(by).agg(
-        F.sum("n").alias("messages"),
-        F.min(value).alias("min_ms"),
-        _discrete_quantile(rank, total, value, 50).alias("p50_ms"),
-        _discrete_quantile(rank, total, value, 95).alias("p95_ms"),
-        _discrete_quantile(rank, total, value, 99).alias("p99_ms"),
-        F.max(value).alias("max_ms"),
-    )
+    histogram = (logs.groupBy(by, delay.alias("delay_ms")).agg(F.count(F.lit(1)).alias("n"))
+                 .withColumn("bucket", _delay_bucket(F.col("delay_ms")).cast("bigint")))
+    counted = histogram.groupBy(by, "bucket").agg(
+        F.sum("n").alias("n"), F.min("delay_ms").alias("low"), F.max("delay_ms").alias("high"))
+    whole = counted.groupBy(by).agg(
+        F.sum("n").alias("messages"), F.min("low").alias("min_ms"), F.max("high").alias("max_ms"),
+        F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("buckets"))
+    places = whole.select(by, "messages", F.explode(F.array(*(
+        F.struct(F.lit(p).alias("percent"), _bucket_of(p).alias("at")) for p in QUANTILES))).alias("q")).select(
+        by, "messages", "q.percent", "q.at.below", "q.at.bucket")
+    upto = W.partitionBy(by, "bucket", "percent").orderBy("delay_ms").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = histogram.join(places, [by, "bucket"]).withColumn("rank", F.col("below") + F.sum("n").over(upto))
+    reached = F.col("rank") * 100 >= F.col("messages") * F.col("percent")
+    quantiles = ranked.groupBy(by).agg(*(
+        F.min(F.when(reached & (F.col("percent") == p), F.col("delay_ms"))).alias(f"p{p}_ms") for p in QUANTILES))
+    return whole.drop("buckets").join(quantiles, by).select(
+        by, "messages", "min_ms", *(f"p{p}_ms" for p in QUANTILES), "max_ms")
 
 
 def delivery_stats(reports: DataFrame, sent_at: str = "ts", status: str = "status") -> DataFrame:
@@ -105,6 +130,30 @@ def stage_counts(stages: Mapping[str, DataFrame], seconds: int) -> DataFrame:
     return counts.withColumn("messages_per_sec", rate)
 
 
+def checked_stage_counts(checked: DataFrame, seconds: int) -> DataFrame:
+    """The same from one validated frame, in one pass over its rows.
+
+    Consumed are messages that could be decoded, processed those without a broken rule; stored
+    are both those and the dead letters.
+    """
+    valid = F.col("rule").isNull()
+    held = {"ingest": F.lit(True), "process": valid, "store": valid | F.col("rule").isNotNull(),
+            "consume": valid | ~F.col("rule").isin("invalid_utf8", "invalid_json")}
+    totals = checked.agg(*(F.count_if(cond).alias(name) for name, cond in held.items()))
+    stages = totals.select(F.explode(F.array(*(
+        F.struct(F.lit(n).alias("stage"), F.col(n).alias("messages")) for n in held))).alias("s")).select("s.*")
+    return stages.withColumn("messages_per_sec", ratio(F.col("messages"), F.lit(seconds), 4, "decimal(14,4)"))
+
+
+def checked_reconciliation(checked: DataFrame) -> DataFrame:
+    """Produced, processed and dead-lettered counts of one validated frame, in one pass."""
+    rule = F.col("rule")
+    return checked.agg(
+        F.count(F.lit(1)).alias("produced"), F.count_if(rule.isNull()).alias("processed"),
+        F.count_if(rule.isNotNull()).alias("dead_lettered"),
+    ).withColumn("missing", F.col("produced") - F.col("processed") - F.col("dead_lettered"))
+
+
 def reconcile_counts(produced: DataFrame, processed: DataFrame, letters: DataFrame) -> DataFrame:
     """Produced, processed, dead-lettered and missing message counts, in one row."""
     parts = {"produced": produced, "processed": processed, "dead_lettered": letters}
@@ -118,7 +167,9 @@ def lost_messages(
 ) -> DataFrame:
     """Produced messages found neither among the processed nor among the dead letters.
 
-    Message ids are unique, so the join spreads evenly whatever the services look like.
+    Message ids are unique, so the joins spread evenly whatever the services look like. Only ids
+    are compared; what the few lost messages hold is fetched afterwards.
     """
     kept = processed.select(message_id).unionByName(letters.select(message_id))
-    return produced.join(kept, message_id, "left_anti")
+    lost = produced.select(message_id).join(kept, message_id, "left_anti")
+    return produced.join(lost, message_id, "left_semi")

@@ -1,5 +1,6 @@
 """Window metrics, trends and completeness checks on small inputs."""
 
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -130,3 +131,18 @@ def test_feed_merges_all_kinds(spark):
                                 "window_end timestamp, service string, error_rate_pct decimal(5,2)")
     rows = feed.recent_events(turns, letters, slo, rows=2).collect()
     assert [r["text"] for r in rows] == ["a error rate 12.50 percent", "dead letter 7: why"]
+
+
+def test_delay_quantiles_of_one_service_with_many_delays(spark, capsys):
+    n = 100_003
+    logs = spark.range(n).selectExpr(
+        "'a' AS service", "timestamp_micros(0) AS log_ts",
+        f"timestamp_micros(((id * 7919 % {n}) * (id * 7919 % {n}) - 5000) * 1000) AS ingested_at")
+    delays = sorted(i * i - 5000 for i in range(n))
+    delayed = quality.ingest_delay(logs)
+    row = delayed.first()
+    at = lambda p: delays[-(-n * p // 100) - 1]
+    assert tuple(row) == ("a", n, delays[0], at(50), at(95), at(99), delays[-1])
+    delayed.explain()
+    windows = re.findall(r"windowspecdefinition\(([^)]*)", capsys.readouterr().out)
+    assert windows and all("bucket" in w.split("delay_ms")[0] for w in windows)  # never the service alone
