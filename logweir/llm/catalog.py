@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.llm import decontaminate, langid, nearest, packing, pii, ppm, quality, simhash, substring, suffix
-from logweir.llm.common import held_out
+from logweir.llm.common import held_out, small_batches
 from logweir.session import pin_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +21,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(pin_utc(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tokenizer(name: str) -> str:

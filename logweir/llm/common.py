@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.session import cut_lineage
@@ -31,14 +29,18 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+#: Rows that go to a Python worker at once. Texts are long, and workers share an executor's memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with batches for Python workers of at most ``BATCH_ROWS`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, with its lineage cut."""
     return cut_lineage(df)
-
-
-def on_arrays(fn: Callable, schema: str):
-    """A function for ``mapInPandas`` whose frames ``fn`` turns into one frame each, skipping none."""
-    def run(frames):
-        for frame in frames:
-            yield fn(frame)
-    return run, schema

@@ -19,7 +19,7 @@ HIDDEN = 12
 #: Training: rows of each language, pieces of each row, bytes of a piece, passes of the optimiser.
 ROWS_EACH, PIECES, PIECE_BYTES, STEPS, BATCH = 500, 4, 64, 260, 128
 #: Prediction: positions labelled together, and the bytes read beside them for context.
-CORE, BESIDE, TOGETHER = 256, 16, 2048
+CORE, BESIDE, TOGETHER = 256, 16, 1024
 UNKNOWN = "und"
 GATES = ("z", "r", "c")
 

@@ -17,12 +17,14 @@ travel, and no text or group is ever gathered in one place beyond a block.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import pickle
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from logweir.llm.common import mix64
 #: Bytes of text in a block, samples in a bucket of the first pass, surroundings compared at once,
 #: and occurrences of a sample from which its strings are met one by one.
 BLOCK_BYTES, BUCKET, TOGETHER, CROWD = 4 << 20, 500_000, 100_000, 20_000
+IN_CACHE = 1 << 15
 DEAD, LIVE, CROWDED = 0, 1, 2
 REPLY = "block int, bucket int, entry long, mask long, data binary"
 NO_VALUE = np.iinfo(np.int64).max
@@ -61,23 +64,25 @@ def _sliding(x: np.ndarray, w: int, pick: Callable) -> np.ndarray:
     return pick(out[:n], out[w - size:w - size + n])
 
 
-def samples(kind: Kind, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the samples of one text."""
+def samples(kind: Kind, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The hash of the run of symbols from each place on, where a sample starts; else 0.
+
+    ``symbols`` are those of several texts in a row, ``lengths`` the numbers of each.
+    """
     n = len(symbols)
     if n < kind.length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(n, np.uint64)
     h = np.zeros(n - kind.key + 1, np.uint64)
     for j in range(kind.key):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + symbols[j:j + len(h)]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += symbols[j:j + len(h)]
     h = mix64(h)
     low = _sliding(h, kind.width, np.minimum)
+    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
+    low[room[:len(low)] < kind.length] = 0  # no string starts here
     padded = np.concatenate([np.zeros(kind.width - 1, np.uint64), low, np.zeros(kind.width - 1, np.uint64)])
-    at = np.flatnonzero(_sliding(padded, kind.width, np.maximum) == h)
-    return at, h[at]
-
-
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
+    chosen = _sliding(padded, kind.width, np.maximum) == h
+    return np.concatenate([np.where(chosen, h, np.uint64(0)), np.zeros(kind.key - 1, np.uint64)])
 
 
 class Block:
@@ -87,17 +92,26 @@ class Block:
         self.kind = kind
         frame = frame.sort_values(["value", "uid"], kind="stable", ignore_index=True)
         self.frame, self.texts = frame, [kind.symbols(t) for t in frame["text"]]
-        found = [samples(kind, t[0]) if v != NO_VALUE or not kind.ordered else samples(kind, t[0][:0])
-                 for t, v in zip(self.texts, frame["value"])]
-        self.doc = np.repeat(np.arange(len(found)), [len(p) for p, _ in found])
-        self.place = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int64)])
-        self.hash = np.concatenate([h for _, h in found] or [np.zeros(0, np.uint64)])
+        lengths = np.array([len(t[0]) for t in self.texts], np.int64)
+        if kind.ordered:  # a text without an id has no place in the order
+            lengths[frame["value"].to_numpy() == NO_VALUE] = 0
+        parts = [t[0][:n] for t, n in zip(self.texts, lengths)]
+        # A few texts at a time, so that the arrays stay in the processor's cache.
+        group = np.cumsum(lengths) // IN_CACHE
+        edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist() + [len(parts)] if parts else []
+        hashes = np.concatenate([samples(kind, np.concatenate(parts[a:b]), lengths[a:b]) for a, b in zip(edges, edges[1:])]
+                                or [np.zeros(0, np.uint64)])
+        at = np.flatnonzero(hashes)
+        first = np.r_[0, np.cumsum(lengths)]
+        self.hash, self.doc = hashes[at], np.searchsorted(first, at, "right") - 1
+        self.place = at - first[self.doc]
         self.known, self.entry, self.count = np.unique(self.hash, return_inverse=True, return_counts=True)
 
     def sent(self, block: int, buckets: int) -> pd.DataFrame:
         """bucket, block, and hashes with their counts."""
         bucket = (self.known % np.uint64(buckets)).astype(np.int64)
-        rows = [(int(b), block, self.known[bucket == b].tobytes(), self.count[bucket == b].astype("<u4").tobytes())
+        short = self.known.view(np.uint8).reshape(-1, 8)[:, 2:]  # a bucket is small: six bytes tell apart
+        rows = [(int(b), block, short[bucket == b].tobytes(), self.count[bucket == b].astype("<u4").tobytes())
                 for b in np.unique(bucket)]
         return pd.DataFrame(rows, columns=["bucket", "block", "hashes", "counts"])
 
@@ -111,13 +125,17 @@ class Block:
                 status[bucket == b] = np.frombuffer(data, np.uint8)
         found: dict[tuple, list] = {}
         size, front = self.kind.length, self.kind.width - 1
-        of = status[self.entry] if len(self.entry) else self.entry
-        for n in np.flatnonzero(of).tolist():
-            doc, at = int(self.doc[n]), int(self.place[n])
+        live = np.flatnonzero(status[self.entry]) if len(self.entry) else np.zeros(0, np.int64)
+        for doc, at, h, of in zip(self.doc[live].tolist(), self.place[live].tolist(), self.hash[live].tolist(),
+                                  status[self.entry[live]].tolist()):
             symbols, raw, starts, ends = self.texts[doc]
-            left, right = min(front, at), min(size, len(symbols) - at)
-            text = raw[starts[at - left]:ends[at + right - 1]]
-            found.setdefault((int(self.hash[n]), int(of[n]), left, text), []).append((doc, at))
+            left = front if at > front else at
+            right = min(size, len(symbols) - at)
+            key = h, of, left, raw[starts[at - left]:ends[at + right - 1]]
+            if key in found:
+                found[key].append((doc, at))
+            else:
+                found[key] = [(doc, at)]
         return found
 
     def value(self, occurrences: list) -> int:
@@ -144,59 +162,79 @@ def _answered(kind: Kind, hashes: np.ndarray, texts: list[bytes], left: np.ndarr
         before[i, :n] = ids[:n][::-1]
     base, behind, before = max(len(vocabulary), 256) + 2, behind.T.copy(), before.T.copy()
 
-    def grown(node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        return np.unique(node * base + symbol, return_inverse=True)[1]
+    def grown(rows: np.ndarray, node: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and their nodes one symbol further, without rows that are alone in theirs."""
+        _, node, count = np.unique(node * base + symbol[rows], return_inverse=True, return_counts=True)
+        shared = count[node] > 1
+        return rows[shared], node[shared]
 
-    node, at_depth = np.unique(hashes, return_inverse=True)[1], {}
+    rows, node = np.arange(g), np.unique(hashes, return_inverse=True)[1]
+    at_depth = {}
     for depth in range(kind.length):
-        node = grown(node, behind[depth])
-        at_depth[depth + 1] = node
+        rows, node = grown(rows, node, behind[depth])
+        at_depth[depth + 1] = rows, node
     mask, lead = np.zeros(g, np.int64), np.zeros(g, np.int64)
     for a in range(kind.width):
         if a:
-            lead = grown(lead, before[a - 1])
-        whole = np.flatnonzero((a <= left) & (kind.length - a <= right))
-        pair = np.unique(lead[whole] * np.int64(g + 1) + at_depth[kind.length - a][whole], return_inverse=True)[1]
-        if not len(whole):
+            led = np.flatnonzero(lead >= 0)
+            rows, node = grown(led, lead[led], before[a - 1])
+            lead[led] = -1
+            lead[rows] = node
+        rows, node = at_depth[kind.length - a]
+        whole = (lead[rows] >= 0) & (a <= left[rows]) & (kind.length - a <= right[rows])
+        rows, node = rows[whole], node[whole]
+        if not len(rows):
             continue
+        pair = np.unique(lead[rows] * np.int64(g + 1) + node, return_inverse=True)[1]
         if kind.ordered:
             low = np.full(pair.max() + 1, NO_VALUE)
-            np.minimum.at(low, pair, values[whole])
-            repeated = low[pair] < values[whole]
+            np.minimum.at(low, pair, values[rows])
+            repeated = low[pair] < values[rows]
         else:
-            repeated = np.bincount(pair, values[whole])[pair] > 1
-        mask[whole[repeated]] |= np.int64(1) << np.int64(a)
+            repeated = np.bincount(pair, values[rows])[pair] > 1
+        mask[rows[repeated]] |= np.int64(1) << np.int64(a)
     return mask
 
 
-def _compare(kind: Kind):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in frames:
-            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            if len(rest) < TOGETHER:
-                continue
-            last = rest["hash"].iat[-1]  # its group may go on in the next frame
-            ready = rest["hash"] != last
-            if ready.any():
-                yield from answer(rest[ready])
-                rest = rest[~ready].reset_index(drop=True)
-        if rest is not None:
-            yield from answer(rest)
-
-    def answer(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        rows = rows[rows.duplicated("hash", keep=False)]
-        near, strings = rows[rows["place"] < 0], rows[rows["place"] >= 0]
+def _packed(rows: list[tuple], buckets: int) -> list[tuple[int, bytes]]:
+    """Rows (hash, entry, left, place, text, value), by bucket of their hash, compressed: neighbours
+    in a block have much text in common."""
+    groups: dict[int, list] = {}
+    for row in rows:
+        groups.setdefault(row[0] % buckets, []).append(row)
+    shrink = zstandard.ZstdCompressor(level=3).compress
+    return [(bucket, shrink(pickle.dumps(list(zip(*group)), protocol=5))) for bucket, group in groups.items()]
+
+
+def _unpacked(sent: pd.DataFrame) -> pd.DataFrame:
+    """All rows of a bucket, by hash."""
+    grow, parts = zstandard.ZstdDecompressor().decompress, []
+    for block, data in zip(sent["block"], sent["data"]):
+        columns = dict(zip(("hash", "entry", "left", "place", "text", "value"), pickle.loads(grow(data))))
+        columns["hash"] = np.array(columns["hash"], np.uint64)
+        parts.append(pd.DataFrame(columns).assign(block=block))
+    rows = pd.concat(parts, ignore_index=True)
+    rows = rows[rows.duplicated("hash", keep=False)]
+    return rows.sort_values("hash", kind="stable", ignore_index=True)
+
+
+def _compared(kind: Kind, sent: pd.DataFrame) -> pd.DataFrame:
+    """block, entry, mask of the rows of one bucket, some hashes at a time."""
+    rows, out = _unpacked(sent), [pd.DataFrame({"block": [], "entry": [], "mask": []})]
+    hashes, start = rows["hash"].to_numpy(), 0
+    while start < len(rows):
+        end = int(np.searchsorted(hashes, hashes[min(start + TOGETHER, len(rows)) - 1], "right"))
+        part, start = rows.iloc[start:end], end
+        near, strings = part[part["place"] < 0], part[part["place"] >= 0]
         if len(near):
             mask = _answered(kind, near["hash"].to_numpy(), list(near["text"]), near["left"].to_numpy(np.int64),
                              near["value"].to_numpy(np.int64))
-            yield near[["block", "entry"]].assign(mask=mask)[mask != 0]
+            out.append(near[["block", "entry"]].assign(mask=mask)[mask != 0])
         if len(strings):
             group = strings.groupby(["text", "place"])["value"].transform("min" if kind.ordered else "sum")
             again = group < strings["value"] if kind.ordered else group > 1
-            yield strings[again][["block", "entry"]].assign(mask=np.int64(1) << strings["place"][again].to_numpy(np.int64))
-
-    return run
+            out.append(strings[again][["block", "entry"]].assign(mask=np.int64(1) << strings["place"][again].to_numpy(np.int64)))
+    return pd.concat(out, ignore_index=True).astype("int64")
 
 
 def _strings(kind: Kind, raw: bytes, left: int) -> list[tuple[int, bytes]]:
@@ -223,7 +261,7 @@ def repeats(docs: DataFrame, kind: Kind, id_col: str, text_col: str, finish: Cal
         return Block(kind, frame).sent(int(frame["block"].iat[0]), buckets)
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(x, np.uint64) for x in rows["hashes"]]
+        hashes = [np.pad(np.frombuffer(x, np.uint8).reshape(-1, 6), ((0, 0), (0, 2))).view("<u8").ravel() for x in rows["hashes"]]
         counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows["counts"]])
         _, place = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(place, counts)[place]
@@ -233,16 +271,17 @@ def repeats(docs: DataFrame, kind: Kind, id_col: str, text_col: str, finish: Cal
                              "data": [s.tobytes() for s in np.split(status, cuts)]})
 
     def surround(mine: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        rows, block = [], 0
         if len(mine):
             own, block = Block(kind, mine), int(mine["block"].iat[0])
             for n, ((h, status, left, raw), where) in enumerate(own.surroundings(replies, buckets).items()):
                 if status == LIVE:
-                    rows.append((_signed(h), block, n, left, -1, raw, own.value(where)))
+                    rows.append((h, n, left, -1, raw, own.value(where)))
                 else:
-                    rows += [(_signed(int.from_bytes(d[:8], "little")), block, n, left, a, d, own.value(where))
+                    rows += [(int.from_bytes(d[:8], "little"), n, left, a, d, own.value(where))
                              for a, d in _strings(kind, raw, left)]
-        return pd.DataFrame(rows, columns=["hash", "block", "entry", "left", "place", "text", "value"])
+        sent = _packed(rows, buckets)
+        return pd.DataFrame({"bucket": [b for b, _ in sent], "block": block, "data": [d for _, d in sent]})
 
     def mark(mine: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         names = [c.split()[0] for c in schema.split(", ")]
@@ -271,9 +310,8 @@ def repeats(docs: DataFrame, kind: Kind, id_col: str, text_col: str, finish: Cal
 
     statuses = (held().applyInPandas(send, "bucket int, block int, hashes binary, counts binary")
                 .groupBy("bucket").applyInPandas(judge, REPLY))
-    around = held().cogroup(statuses.groupBy("block")).applyInPandas(
-        surround, "hash long, block int, entry long, left int, place int, text binary, value long")
-    found = around.repartition("hash").sortWithinPartitions("hash").mapInPandas(
-        _compare(kind), "block int, entry long, mask long")
+    around = held().cogroup(statuses.groupBy("block")).applyInPandas(surround, "bucket int, block int, data binary")
+    found = around.groupBy("bucket").applyInPandas(
+        lambda sent: _compared(kind, sent), "block int, entry long, mask long")
     answers = found.select("block", F.lit(-1).alias("bucket"), "entry", "mask", F.lit(None).cast("binary").alias("data"))
     return held().cogroup(statuses.unionByName(answers).groupBy("block")).applyInPandas(mark, schema)
