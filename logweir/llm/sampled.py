@@ -1,12 +1,12 @@
 """Repeated strings through sampled suffixes: what the two substring operators share.
 
 A text is a sequence of symbols. In every string of ``length`` symbols the run of ``key`` symbols
-with the smallest rolling hash is sampled (all of them, on ties), so equal strings have samples at
-equal places. Three passes over the texts, dealt into blocks by a hash, find repeats:
+with the smallest rolling hash is its sample (the first, on ties), so equal strings have their
+samples at equal places. Three passes over the texts, dealt into blocks by a hash, find repeats:
 
 1. Each block sends the hashes of its samples; a hash that occurs once anywhere is dropped.
-2. Samples whose hash occurs again send their surroundings (what lies within one string of the
-   sample), each distinct one once. Surroundings that share a sample are compared together; those
+2. Samples whose hash occurs again send their surroundings (the strings whose sample they are, as
+   one text), each distinct one once from a block, compressed together. Surroundings that share a sample are compared together; those
    of a sample that is too frequent for that are cut into their strings, whose digests are sent
    instead, each once from a block.
 3. Each block marks the symbols of its strings that were found.
@@ -55,34 +55,43 @@ class Kind:
         return self.length - self.key + 1
 
 
-def _sliding(x: np.ndarray, w: int, pick: Callable) -> np.ndarray:
-    """pick over each w neighbours; shorter than ``x`` by w - 1."""
-    out, size = x, 1
+def _leftmost_smallest(x: np.ndarray, w: int) -> np.ndarray:
+    """For each w neighbours the place of the smallest, the first of equal ones."""
+    value, place, size = x, np.arange(len(x)), 1
+
+    def joined(step: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        first = value[:n] <= value[step:step + n]
+        return np.where(first, value[:n], value[step:step + n]), np.where(first, place[:n], place[step:step + n])
+
     while 2 * size <= w:
-        out, size = pick(out[:-size], out[size:]), 2 * size
-    n = len(x) - w + 1
-    return pick(out[:n], out[w - size:w - size + n])
+        value, place = joined(size, len(value) - size)
+        size *= 2
+    return joined(w - size, len(x) - w + 1)[1]
 
 
-def samples(kind: Kind, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The hash of the run of symbols from each place on, where a sample starts; else 0.
+def samples(kind: Kind, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the samples of several texts in a row, of ``lengths``: place, hash, and how many symbols
+    the string that starts last and the one that starts first have in front of the sample.
 
-    ``symbols`` are those of several texts in a row, ``lengths`` the numbers of each.
+    A string's sample is its run with the smallest hash, the first of equal ones; the strings of
+    one sample start side by side.
     """
     n = len(symbols)
     if n < kind.length:
-        return np.zeros(n, np.uint64)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64))
     h = np.zeros(n - kind.key + 1, np.uint64)
     for j in range(kind.key):
         h *= np.uint64(0x9E3779B97F4A7C15)
         h += symbols[j:j + len(h)]
     h = mix64(h)
-    low = _sliding(h, kind.width, np.minimum)
-    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
-    low[room[:len(low)] < kind.length] = 0  # no string starts here
-    padded = np.concatenate([np.zeros(kind.width - 1, np.uint64), low, np.zeros(kind.width - 1, np.uint64)])
-    chosen = _sliding(padded, kind.width, np.maximum) == h
-    return np.concatenate([np.where(chosen, h, np.uint64(0)), np.zeros(kind.key - 1, np.uint64)])
+    place = _leftmost_smallest(h, kind.width)
+    room = np.repeat(np.cumsum(lengths), lengths)[:len(place)] - np.arange(len(place))
+    starts = np.flatnonzero(room >= kind.length)
+    place = place[starts]
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.zeros(0, np.int64)
+    last = np.r_[first[1:], len(place)][:len(first)] - 1
+    at = place[first]
+    return at, h[at], at - starts[last], at - starts[first]
 
 
 class Block:
@@ -99,11 +108,12 @@ class Block:
         # A few texts at a time, so that the arrays stay in the processor's cache.
         group = np.cumsum(lengths) // IN_CACHE
         edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist() + [len(parts)] if parts else []
-        hashes = np.concatenate([samples(kind, np.concatenate(parts[a:b]), lengths[a:b]) for a, b in zip(edges, edges[1:])]
-                                or [np.zeros(0, np.uint64)])
-        at = np.flatnonzero(hashes)
         first = np.r_[0, np.cumsum(lengths)]
-        self.hash, self.doc = hashes[at], np.searchsorted(first, at, "right") - 1
+        found = [samples(kind, np.concatenate(parts[a:b]), lengths[a:b]) for a, b in zip(edges, edges[1:])]
+        at, self.hash, self.least, self.most = (np.concatenate(x) for x in zip(*found)) if found else samples(
+            kind, np.zeros(0, np.uint64), lengths)
+        at = at + np.repeat(first[edges[:-1]], [len(f[0]) for f in found]) if found else at
+        self.doc = np.searchsorted(first, at, "right") - 1
         self.place = at - first[self.doc]
         self.known, self.entry, self.count = np.unique(self.hash, return_inverse=True, return_counts=True)
 
@@ -117,21 +127,20 @@ class Block:
 
     def surroundings(self, replies: pd.DataFrame, buckets: int):
         """Every distinct surroundings of a sample that occurs again: (hash, status, symbols in
-        front, bytes), and the samples (text, place) that have it, in order of the texts."""
+        front, symbols from the sample on, bytes), and the samples (text, place) that have it, in
+        order of the texts. They span the strings whose sample it is."""
         status = np.zeros(len(self.known), np.uint8)
         bucket = (self.known % np.uint64(buckets)).astype(np.int64)
         for b, data in zip(replies["bucket"], replies["data"]):
             if b >= 0:
                 status[bucket == b] = np.frombuffer(data, np.uint8)
         found: dict[tuple, list] = {}
-        size, front = self.kind.length, self.kind.width - 1
         live = np.flatnonzero(status[self.entry]) if len(self.entry) else np.zeros(0, np.int64)
-        for doc, at, h, of in zip(self.doc[live].tolist(), self.place[live].tolist(), self.hash[live].tolist(),
-                                  status[self.entry[live]].tolist()):
-            symbols, raw, starts, ends = self.texts[doc]
-            left = front if at > front else at
-            right = min(size, len(symbols) - at)
-            key = h, of, left, raw[starts[at - left]:ends[at + right - 1]]
+        for doc, at, h, of, left, right in zip(
+                self.doc[live].tolist(), self.place[live].tolist(), self.hash[live].tolist(),
+                status[self.entry[live]].tolist(), self.most[live].tolist(), (self.kind.length - self.least[live]).tolist()):
+            _, raw, starts, ends = self.texts[doc]
+            key = h, of, left, right, raw[starts[at - left]:ends[at + right - 1]]
             if key in found:
                 found[key].append((doc, at))
             else:
@@ -274,7 +283,7 @@ def repeats(docs: DataFrame, kind: Kind, id_col: str, text_col: str, finish: Cal
         rows, block = [], 0
         if len(mine):
             own, block = Block(kind, mine), int(mine["block"].iat[0])
-            for n, ((h, status, left, raw), where) in enumerate(own.surroundings(replies, buckets).items()):
+            for n, ((h, status, left, _, raw), where) in enumerate(own.surroundings(replies, buckets).items()):
                 if status == LIVE:
                     rows.append((h, n, left, -1, raw, own.value(where)))
                 else:
@@ -297,12 +306,12 @@ def repeats(docs: DataFrame, kind: Kind, id_col: str, text_col: str, finish: Cal
             first = own.frame["value"].iat[where[0][0]]
             for doc, at in where:
                 again = own.frame["value"].iat[doc] > first if kind.ordered else len(where) > 1
-                rows.append((base[doc] + at, key[2], lengths[doc] - at, -1 if again else masks.get(n, 0)))
+                rows.append((base[doc] + at, key[2], key[3], -1 if again else masks.get(n, 0)))
         started = np.zeros(base[-1] + 1, bool)
         if rows:
-            place, left, room, mask = np.array(rows, np.int64).T
+            place, left, right, mask = np.array(rows, np.int64).T
             for a in range(kind.width):
-                started[place[(mask >> a & 1 != 0) & (a <= left) & (kind.length - a <= room)] - a] = True
+                started[place[(mask >> a & 1 != 0) & (a <= left) & (kind.length - a <= right)] - a] = True
         sums = np.r_[np.zeros(kind.length, np.int64), np.cumsum(started)]
         covered = sums[kind.length:] > sums[:-kind.length]
         out = [finish(i, t, covered[a:a + n]) for i, t, a, n in zip(own.frame["id"], own.texts, base, lengths)]
