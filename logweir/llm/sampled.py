@@ -101,6 +101,7 @@ class Block:
         self.kind = kind
         frame = frame.sort_values(["value", "uid"], kind="stable", ignore_index=True)
         self.frame, self.texts = frame, [kind.symbols(t) for t in frame["text"]]
+        self.values = frame["value"].tolist()
         lengths = np.array([len(t[0]) for t in self.texts], np.int64)
         if kind.ordered:  # a text without an id has no place in the order
             lengths[frame["value"].to_numpy() == NO_VALUE] = 0
@@ -149,7 +150,7 @@ class Block:
 
     def value(self, occurrences: list) -> int:
         """The smallest document, or how often."""
-        return int(self.frame["value"].iat[occurrences[0][0]]) if self.kind.ordered else len(occurrences)
+        return self.values[occurrences[0][0]] if self.kind.ordered else len(occurrences)
 
 
 def _answered(kind: Kind, hashes: np.ndarray, texts: list[bytes], left: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -301,12 +302,12 @@ def repeats(docs: DataFrame, kind: Kind, id_col: str, text_col: str, finish: Cal
             masks[n] = masks.get(n, 0) | m
         lengths = np.array([len(t[0]) for t in own.texts])
         base = np.r_[0, np.cumsum(lengths)]
-        rows = []
+        rows, begin = [], base.tolist()
         for n, (key, where) in enumerate(own.surroundings(replies, buckets).items()):
-            first = own.frame["value"].iat[where[0][0]]
+            first, several, mask = own.values[where[0][0]], len(where) > 1, masks.get(n, 0)
             for doc, at in where:
-                again = own.frame["value"].iat[doc] > first if kind.ordered else len(where) > 1
-                rows.append((base[doc] + at, key[2], key[3], -1 if again else masks.get(n, 0)))
+                again = own.values[doc] > first if kind.ordered else several
+                rows.append((begin[doc] + at, key[2], key[3], -1 if again else mask))
         started = np.zeros(base[-1] + 1, bool)
         if rows:
             place, left, right, mask = np.array(rows, np.int64).T
