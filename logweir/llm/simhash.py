@@ -10,13 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logweir.llm import jaccard
 from logweir.llm.common import ascii_words, stored
 from logweir.llm.components import connected_components
 
 BITS = 64
 SEED = 42
-#: Independent fingerprints of the words of a text.
-SEEDS = 3
 #: Members up to which a bucket's pairs are compared one by one.
 PAIRWISE = 64
 _AT_ONCE = 1 << 16
@@ -147,48 +146,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), "fp", "component_id")
 
 
-def word_fingerprints(text: str | None, seeds: int = SEEDS) -> list[int]:
-    """Fingerprints of the set of lower-cased words of a text, one for each seed; 0 without words."""
-    words = {w.lower() for w in ascii_words(text)}
-    out = []
-    for seed in range(seeds):
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-        ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * ones > len(words), bitorder="little").view("<i8")[0]))
-    return out
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 4,
-                blocks: int = 7, seeds: int = SEEDS) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near copies: the one with the smallest id.
 
-    Two texts are linked if the fingerprints of their sets of words differ in ``max_bits`` or fewer
-    bits for any of the seeds; groups are what links reach. On five-word shingles a similarity of
-    0.8 means about ten differing bits of 64, too many for block keys that stay selective, while a
-    changed word touches five shingles but one word: at four bits most pairs of that similarity
-    are linked by one seed and nearly all by three, and unrelated texts by none.
+    Two texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.8 or
+    more; groups are what links reach. See ``jaccard``: all such pairs meet, and each link is
+    verified. Equal sets are one node, of which one text is looked at.
 
     Null and empty texts have no words and are no copies of anything: all of them stay. Of rows
     with the same smallest id, or without any id, one stays. Columns are those of ``docs``.
     """
-    @F.pandas_udf("array<long>")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series([word_fingerprints(t, seeds) for t in texts])
-
     mark = "_" + "_".join(docs.columns)
     text, uid = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("string"))
     worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    found = stored(docs.filter(worded).select(F.col(f"`{id_col}`").alias("id"), uid.alias("uid"), prints(text).alias("f")))
-    node = lambda seed, fp: F.xxhash64(F.lit(seed), fp)
-    tuples = found.select("f").distinct()
-    links = tuples.select(F.explode(F.array(*(F.struct(node(0, F.col("f")[0]).alias("a"), node(k, F.col("f")[k]).alias("b"))
-                                              for k in range(1, seeds)))).alias("x")).select("x.*").distinct()
-    for k in range(seeds):
-        close = close_links(tuples.select(F.col("f")[k].alias("fp")).distinct(), max_bits, blocks)
-        links = links.unionByName(close.select(node(k, F.col("fp")).alias("a"), node(k, F.col("other")).alias("b")))
-    labels = connected_components(links)
-    one = found.withColumn("node", node(0, F.col("f")[0])).join(labels, "node", "left")
-    kept = (one.groupBy(F.coalesce("label", "node").alias("group")).agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("k"))
+    texts = docs.filter(worded).select(F.col(f"`{id_col}`").alias("id"), uid.alias("uid"), text.alias("text"))
+    found = texts.select("id", "uid", jaccard.heads(F.col("text"), texts).alias("s")).select("id", "uid", "s.*")
+    nodes = stored(found.groupBy("node").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("k"), F.min("uid").alias("rep"),
+        F.first("size").alias("size"), F.first("head").alias("head")))
+    labels = jaccard.near_copies(nodes.drop("k"), texts.select("uid", "text"))
+    kept = (nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("group")).agg(F.min("k").alias("k"))
             .select(F.col("k.uid").alias(mark)))
     stay = docs.filter(worded).withColumn(mark, uid).join(kept, mark, "left_semi").drop(mark)
     # Rows that share id and text are one document.

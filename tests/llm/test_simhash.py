@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from logweir.llm import simhash
+from logweir.llm import jaccard, simhash
 from logweir.llm.catalog import QUERIES, table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -77,3 +77,39 @@ def test_masks_need_more_blocks_than_bits():
     with pytest.raises(ValueError):
         simhash.block_masks(2, 2)
     assert len(simhash.block_masks(2, 5)) == 10
+
+
+def _shingles(text, n=5):
+    words = text.encode().lower().split()
+    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
+
+
+@pytest.mark.parametrize("pairwise", [64, 8])
+def test_near_copies_are_those_of_all_verified_pairs(spark, monkeypatch, pairwise):
+    monkeypatch.setattr(jaccard, "PAIRWISE", pairwise)
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    passage, texts = rng.choices(vocabulary, k=60), []
+    for g in range(8):
+        words = rng.choices(vocabulary, k=90)
+        if g % 2:
+            words[:60] = passage  # a common passage makes no copies
+        for c in range(12):
+            texts.append(" ".join(words[:60 + 3 * c]) if g < 2 else " ".join(words))  # chains of growing texts
+            if g > 1:
+                words = list(words)
+                for _ in range(c % 4):
+                    words[rng.randrange(60, 90)] = rng.choice(vocabulary)
+    # The same words in another order: one set of words, other shingles.
+    words = rng.choices(vocabulary, k=80)
+    texts += [" ".join(words), " ".join(sorted(words))]
+    sets = list(map(_shingles, texts))
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.one_of_each(df).collect()} == set(label)
+    assert len(texts) > len(set(label)) > 10
