@@ -51,7 +51,7 @@ _NUMBERS = ("ip", "ssn", "phone", "card")
 ANY = (r"(?<![\p{L}\d])(?:" + "|".join(p for k, p in PATTERNS.items() if k not in _NUMBERS)
        + r"|(?=[\d+(])(?:" + "|".join(PATTERNS[k] for k in _NUMBERS) + "))")
 #: Kinds whose surrogate grows by a part at each further attempt, so that it always finds room.
-GROWING = ("email", "secret", "access_key", "name")
+GROWING = ("email", "secret", "access_key", "name", "given")
 ATTEMPTS = 40
 
 
@@ -138,6 +138,25 @@ def _surname(normal: Column, stream: Column, attempt: Column) -> Column:
     return F.when(_script(normal) == "cyrillic", built("cyrillic")).otherwise(built("latin"))
 
 
+def _given(normal: Column, stream: Column, attempt: Column) -> Column:
+    """A listed given name of the form's script and gender, with a syllable for each further attempt."""
+    script, gender = F.get(F.split(normal, "\x1f"), 0), F.get(F.split(normal, "\x1f"), 1)
+
+    def grown(script: str) -> Column:
+        parts = F.array(*_in(*SYLLABLES[script]))
+        return F.array_join(F.transform(F.sequence(F.lit(1), attempt), lambda i: F.element_at(
+            parts, _byte(stream, i + 2) % len(SYLLABLES[script]) + 1)), "")
+
+    draw, out = 256 * _byte(stream, F.lit(1)) + _byte(stream, F.lit(2)), F.lit(None).cast("string")
+    for s in SYLLABLES:
+        male, female = GIVEN[s, "male"].lower().split(), GIVEN[s, "female"].lower().split()
+        more = F.when(attempt > 0, grown(s)).otherwise("")
+        for kind, listed in (("male", male), ("female", female), ("any", male + female)):
+            name = F.element_at(F.array(*_in(*listed)), draw % len(listed) + 1)
+            out = F.when((script == s) & (gender == kind), F.concat(name, more)).otherwise(out)
+    return out
+
+
 def candidates(normals: DataFrame, key: str) -> DataFrame:
     """kind, normal, attempt -> with ``core``: the surrogate's normal form at that attempt."""
     kind, normal, attempt = F.col("kind"), F.col("normal"), F.col("attempt")
@@ -153,7 +172,7 @@ def candidates(normals: DataFrame, key: str) -> DataFrame:
         F.expr("left(card, length(card) - 1)"), ((10 - luhn_sum(without) % 10) % 10).cast("string"))).otherwise(F.col("card"))
     core = (F.when(kind == "email", F.concat(grown, F.expr("concat(left(same, length(same) - length(tld)), tld)")))
             .when(kind == "ip", octets).when(kind == "card", checked)
-            .when(kind == "name", _surname(normal, s, attempt))
+            .when(kind == "name", _surname(normal, s, attempt)).when(kind == "given", _given(normal, s, attempt))
             .when(kind.isin("secret", "access_key"), F.concat(F.col("same"), grown)).otherwise(F.col("same")))
     return (normals.withColumn("stream", stream).withColumn("same", same)
             .withColumn("tld", F.regexp_extract("normal", r"\.[^.]*$", 0)).withColumn("card", card)
@@ -167,7 +186,9 @@ def assigned(normals: DataFrame, key: str) -> DataFrame:
     to nobody. The others try again, with longer surrogates where the kind allows; as long as any
     is left. A kind without room for all of its entities is an error, not a shared surrogate.
     """
-    real = normals.select("kind", F.col("normal").alias("core"))
+    # A given name is one, whatever script and gender stand in front of it.
+    real = normals.select("kind", F.when(F.col("kind") == "given", F.element_at(F.split("normal", "\x1f"), -1))
+                          .otherwise(F.col("normal")).alias("core")).distinct()
     done, left = None, normals.withColumn("attempt", F.lit(0))
     for attempt in range(ATTEMPTS):
         tried = stored(candidates(left, key))
@@ -195,36 +216,30 @@ def _filled(body: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(body)), one), "")
 
 
-def _given(key: str) -> Column:
-    """The given names of a name's body: one for each, by script, gender and key."""
+def _given_forms() -> Column:
+    """Script, gender and lower-cased form of each given name in a name's body, in order."""
     title = F.regexp_replace("kept", r"[. ]+$", "")
     words = F.expr("slice(split(body, '[ -]'), 1, size(split(body, '[ -]')) - 1)")
 
     def one(word: Column) -> Column:
-        draw = F.conv(F.substring(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("given"), F.lower(word), F.lit(key)), 256), 1, 8), 16, 10).cast("long")
-        choice, names = F.lit(None).cast("string"), {k: F.array(*_in(*v.split())) for k, v in GIVEN.items()}
-        for (script, gender), listed in names.items():
-            titles = MALE_TITLES if gender == "male" else FEMALE_TITLES
-            fits = (_script(word) == script) & (title.isin(*titles) | (title.isin(*OTHER_TITLES) & F.array_contains(listed, word)))
-            choice = F.when(fits, F.element_at(listed, (draw % len(GIVEN[script, gender].split()) + 1).cast("int"))).otherwise(choice)
-        both = {s: F.array(*_in(*(GIVEN[s, "male"] + " " + GIVEN[s, "female"]).split())) for s in SYLLABLES}
-        for script, listed in both.items():
-            choice = F.when(choice.isNull() & (_script(word) == script), F.element_at(
-                listed, (draw % len((GIVEN[script, "male"] + " " + GIVEN[script, "female"]).split()) + 1).cast("int"))).otherwise(choice)
-        return F.concat(choice, F.lit(" "))
+        gender = F.when(title.isin(*MALE_TITLES), "male").when(title.isin(*FEMALE_TITLES), "female")
+        for (script, known), listed in GIVEN.items():
+            gender = gender.when((_script(word) == script) & F.array_contains(F.array(*_in(*listed.split())), word), known)
+        return F.concat_ws("\x1f", _script(word), gender.otherwise("any"), F.lower(word))
 
-    return F.array_join(F.transform(words, one), "")
+    return F.transform(words, one)
 
 
 def _cased(core: Column, like: Column) -> Column:
     return F.when(like == F.upper(like), F.upper(core)).otherwise(core)
 
 
-def rendered(key: str) -> Column:
-    """The surrogate of a surface form in that form's format."""
+def rendered() -> Column:
+    """The surrogate of a surface form in that form's format. ``given`` has its new given names."""
     kind = F.col("kind")
     surname = F.regexp_extract("body", r"\p{L}+$", 0)
-    name = F.concat(_given(key), F.when((surname == F.upper(surname)) & (F.length(surname) > 1), F.upper("core")).otherwise(F.initcap("core")))
+    first = F.array_join(F.transform("given", lambda g: F.concat(F.initcap(g), F.lit(" "))), "")
+    name = F.concat(first, F.when((surname == F.upper(surname)) & (F.length(surname) > 1), F.upper("core")).otherwise(F.initcap("core")))
     return F.concat("kept", F.when(kind.isin("phone", "card", "ssn"), _filled(F.col("body"), F.col("core")))
                     .when(kind == "name", name).when(kind == "email", _cased(F.col("core"), F.col("body")))
                     .otherwise(F.col("core")))
@@ -232,9 +247,15 @@ def rendered(key: str) -> Column:
 
 def surrogates(surfaces: DataFrame, key: str) -> DataFrame:
     """kind, surface, surrogate for a table of distinct surface forms."""
-    known = stored(described(surfaces))
-    cores = assigned(known.select("kind", "normal").distinct(), key)
-    return known.join(cores, ["kind", "normal"]).select("kind", "surface", rendered(key).alias("surrogate"))
+    forms = F.when(F.col("kind") == "name", _given_forms()).otherwise(F.array().cast("array<string>"))
+    known = stored(described(surfaces).withColumn("forms", forms))
+    each = known.select("surface", F.posexplode("forms").alias("at", "normal")).withColumn("kind", F.lit("given"))
+    cores = assigned(known.select("kind", "normal").unionByName(each.select("kind", "normal")).distinct(), key)
+    given = (each.join(cores, ["kind", "normal"]).groupBy("surface")
+             .agg(F.array_sort(F.collect_list(F.struct("at", "core"))).alias("g")).select("surface", F.col("g.core").alias("given")))
+    whole = known.join(cores, ["kind", "normal"]).join(given, "surface", "left")
+    return (whole.withColumn("given", F.coalesce("given", F.array().cast("array<string>")))
+            .select("kind", "surface", rendered().alias("surrogate")))
 
 
 def replaced(text: Column, found: Column) -> Column:

@@ -68,6 +68,16 @@ def test_collisions_are_resolved(spark, monkeypatch):
     assert len(set(got)) == len(texts) and not set(got) & set(texts)
 
 
+def test_given_names_stay_distinct(spark):
+    given = ("Robert Matthew Mark Paul Adam Dario John Peter Simon Luke Thomas Philip Andrew James Stephen "
+             "Martin George Henry Walter Arthur").split()
+    got = make(spark, [" and ".join(f"Mr {g} Smith" for g in given), "Mr Mark Smith"], "a key for these tables")
+    names = re.findall(r"Mr (\w+) (\w+)", got[0])
+    assert len(names) == 20 and len({last for _, last in names}) == 1
+    assert len({first for first, _ in names}) == 20 and not {first for first, _ in names} & set(given)
+    assert got[1] == "Mr {} {}".format(*names[2])
+
+
 def test_edges(spark):
     rows = [None, "", "no entity", "a@b.c a@b.c", "a@b.c a@b.c", "x" * 200000, "1.2.3.4 " * 20000, "@ .@. a@b"]
     got = make(spark, rows)
