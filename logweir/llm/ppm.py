@@ -100,8 +100,9 @@ def count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """word, n: counts of lower-cased words, summed within a task as far as it gathers them."""
     found: Counter = Counter()
 
-    def rows():
-        return pd.DataFrame({"word": [w.decode("utf-8", "surrogatepass") for w in found], "n": list(found.values())})
+    def rows():  # of text even if there are none: columns without values would be floating point
+        return pd.DataFrame({"word": pd.Series([w.decode("utf-8", "surrogatepass") for w in found], dtype=object),
+                             "n": pd.Series(list(found.values()), dtype="int64")})
 
     for frame in frames:
         for text in frame["text"]:

@@ -10,7 +10,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm import jaccard
 from logweir.llm.common import ascii_words, stored
 from logweir.llm.components import connected_components
 
@@ -146,30 +145,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle: int = 3, max_bits: int = 2, blocks: int = 5) -> DataFrame:
+    """``docs`` with one document of each group of ``near_duplicates``: the one with the smallest id.
 
-    Two texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.8 or
-    more; groups are what links reach. See ``jaccard``: all such pairs meet, and each link is
-    verified. Equal sets are one node, of which one text is looked at.
-
-    Null and empty texts have no words and are no copies of anything: all of them stay. Of rows
-    with the same smallest id, or without any id, one stays. Columns are those of ``docs``.
+    Null and wordless texts have fingerprint zero, so one of them stays. Ids that are null come
+    last; rows without an id, or with the same one, are told apart by their texts. Rows that share
+    id and text are one document, of which one row stays. Columns are those of ``docs``.
     """
+    ident = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"),
+                     F.coalesce(F.unhex(F.md5(F.col(f"`{text_col}`").cast("binary"))), F.lit(b"")).alias("digest"))
+    keyed = docs.select(ident.alias("ident"), F.col(f"`{text_col}`").alias("text"))
+    found = near_duplicates(keyed, "ident", "text", shingle, max_bits, blocks)
     mark = "_" + "_".join(docs.columns)
-    text, uid = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("string"))
-    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    texts = docs.filter(worded).select(F.col(f"`{id_col}`").alias("id"), uid.alias("uid"), text.alias("text"))
-    found = texts.select("id", "uid", jaccard.heads(F.col("text"), texts).alias("s")).select("id", "uid", "s.*")
-    nodes = stored(found.groupBy("node").agg(
-        F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("k"), F.min("uid").alias("rep"),
-        F.first("size").alias("size"), F.first("head").alias("head")))
-    labels = jaccard.near_copies(nodes.drop("k"), texts.select("uid", "text"))
-    kept = (nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("group")).agg(F.min("k").alias("k"))
-            .select(F.col("k.uid").alias(mark)))
-    stay = docs.filter(worded).withColumn(mark, uid).join(kept, mark, "left_semi").drop(mark)
-    # Rows that share id and text are one document.
-    return stay.dropDuplicates([id_col, text_col]).unionByName(docs.filter(~worded))
+    first = found.filter(F.col("ident") == F.col("component_id")).select(F.col("ident").alias(mark)).distinct()
+    return docs.withColumn(mark, ident).join(first, mark, "left_semi").dropDuplicates([mark]).drop(mark)
 
 
 def hex_of(fp: Column) -> Column:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_decontaminate import slow
 from test_packing import check
+from test_simhash import slow_components, slow_print
 
 import corpus_pipeline as cp
 from logweir.llm import simhash
@@ -14,11 +15,6 @@ from logweir.llm.catalog import table
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def shingles(text, n=5):
-    w = text.lower().split()
-    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))}
-
-
 def test_stages(spark, tmp_path):
     docs = table(spark, SF_DIR, "documents")
     before = {r.doc_id: r.text for r in docs.collect()}
@@ -33,12 +29,8 @@ def test_stages(spark, tmp_path):
     language, single, clean, private, packed = kept
     assert len(language) == len(before)  # every document here is in a known language
     texts = {r.doc_id: r.text for r in single}
-    sets = {i: shingles(t) for i, t in texts.items()}
-    close = [(a, b) for a in texts for b in texts if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    assert not close
-    gone = [i for i in before if i not in texts]
-    full = {i: shingles(t) for i, t in before.items()}
-    assert gone and all(any(len(full[i] & s) > 0.3 * len(full[i] | s) for j, s in full.items() if j < i) for i in gone)
+    label = slow_components({i: slow_print(t) for i, t in before.items()})
+    assert texts.keys() == {i for i in before if label[i] == i} and len(texts) < len(before)
     items = {r.item_id: r.text for r in table(spark, SF_DIR, "benchmark").collect()}
     assert {r.doc_id for r in clean} == {i for i, (_, hit, _) in slow(texts, items).items() if not hit}
     assert {r.doc_id for r in private} == {r.doc_id for r in clean}
@@ -49,19 +41,18 @@ def test_stages(spark, tmp_path):
 def test_one_of_each(spark):
     rng = random.Random(4)
     vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
-    rows = []
-    for g in range(12):
-        base = rng.choices(vocabulary, k=250)
-        for c in range(3):
-            words = list(base)
-            for _ in range(2 * c):
-                words[rng.randrange(250)] = rng.choice(vocabulary)
-            rows.append((100 * g + c, " ".join(words)))
-    rows += [(1, rows[0][1].upper()), (5000, None), (5001, ""), (5002, ""), (None, rows[3][1]), (7, "one"), (7, "one"), (8, "two words")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("id", "uid", "f", "node", "label")})
+    rows = [(100 * g + c, " ".join(words)) for g in range(12)
+            for words in [rng.choices(vocabulary, k=250)] for c in range(3)]
+    rows += [(1, rows[0][1].upper()), (5000, None), (5001, ""), (5002, ""), (None, rows[3][1]), (None, "no id"),
+             (None, "NO id"), (7, "one"), (7, "one"), (7, "another text"), (8, "two words"), (9, "x " * 70000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {c: F.lit("clash") for c in ("id", "ident", "fp", "component_id", "node", "label")})
     got = simhash.one_of_each(df)
     assert got.columns == df.columns
-    assert sorted(r.doc_id for r in got.collect()) == sorted([100 * g for g in range(12)] + [5000, 5001, 5002, 7, 8])
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted(i for i, _ in kept if i is not None) == sorted([100 * g for g in range(12)] + [5000, 7, 7, 8, 9])
+    assert len([t for i, t in kept if i is None and t.lower() == "no id"]) == 1
+    assert len([1 for i, _ in kept if i is None]) == 1
     assert simhash.one_of_each(df.limit(0)).count() == 0
 
 

@@ -124,3 +124,6 @@ def test_edges(spark):
     assert [r.base_score for r in none] == [0.0] * 6
     assert none[0].score == pytest.approx(-math.log10(257))
     assert ppm.score_documents(df.limit(0), F.lit(True)).count() == 0
+    wordless = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", " ", "a"])], "doc_id long, text string")
+    got = ppm.score_documents(wordless.repartition(4, "doc_id"), F.lit(True)).collect()
+    assert sorted(r.n_tokens for r in got) == [1, 1, 1, 2]
