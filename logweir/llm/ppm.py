@@ -140,6 +140,8 @@ class Trie:
         # What escapes: one for each symbol seen, and what the trie leaves out.
         escape = count - kept + children
         escape[0] *= children[0] < SYMBOLS
+        if not total:
+            escape[0] = 1  # nothing was learnt: all symbols are unseen
         whole = kept + escape
         deeper = grams[length[grams] > 1]
         excluded = np.bincount(parent[deeper], count[self.shorter[deeper]], n)
