@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontaminate, langid, nearest, packing, pii, ppm, quality, simhash, substring, suffix
+from logweir.llm import codes, decompose, decontaminate, importance, langid, nearest, packing, pii, ppm, quality, simhash, substring, suffix
 from logweir.llm.common import held_out, small_batches
 from logweir.session import pin_utc
 
@@ -98,3 +98,22 @@ def op9_suffix_array(spark, d):
 @query
 def op10_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op11_codes(spark, d):
+    coded, books = codes.compress(table(spark, d, "embeddings"))
+    return codes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op12_importance(spark, d):
+    return importance.draw(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op13_decomposition(spark, d):
+    made = decompose.bucketed(table(spark, d, "documents"), tokenizer("byte_bpe_50k.json"))
+    return made.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
