@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 
 import numpy as np
 
-#: No byte of UTF-8; stands for the end of a word in vocabularies that mark it.
-WORD_END = b"\xff"
+#: Stands for the end of a word in vocabularies that mark it. No letter has this byte.
+WORD_END = "\x01"
 #: How byte-level splitting cuts texts; a fixed value of that scheme.
 BYTE_LEVEL = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -56,7 +57,7 @@ def ranks(file: dict) -> dict[bytes, int] | None:
         letters_of = token[: -len(mark)] if ended else token
         if any(c not in letters for c in letters_of):
             return None
-        out[bytes(letters[c] for c in letters_of) + WORD_END * ended] = number
+        out[bytes(letters[c] for c in letters_of) + WORD_END.encode() * ended] = number
     return out
 
 
@@ -83,3 +84,43 @@ class ByteEncoder:
         else:
             ids = self.library.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, "<u4").tobytes()
+
+
+class WordEncoder:
+    """Token ids of single words, for files that mark word ends, lower-case, and part runs of letters."""
+
+    #: Letters from here on go through the library, whose Unicode version may be another.
+    LAST = "\u0530"
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        self.library, self.fast = library(path), None
+        table = ranks(file) if file["model"].get("end_of_word_suffix") else None
+        steps = [n.get("type") for n in (file.get("normalizer") or {}).get("normalizers", [])]
+        if table and steps == ["NFC", "Replace", "Lowercase"] and "[\\p{L}]+" in json.dumps(file["pre_tokenizer"]).replace("\\\\", "\\"):
+            import tiktoken
+
+            self.fast = tiktoken.Encoding(os.path.basename(path), pat_str=f"[^{WORD_END}]+{WORD_END}", mergeable_ranks=table,
+                                          special_tokens={})
+            self.ends = np.zeros(max(table.values()) + 1, bool)
+            self.ends[[n for token, n in table.items() if token.endswith(WORD_END.encode()) and len(token) > 1]] = True
+
+    def plain(self, word: str) -> bool:
+        """Whether a word is letters that normalisation leaves as they are but for their case."""
+        return bool(self.fast) and word.isalpha() and (word.isascii() or (
+            max(word) < self.LAST and "\u03a3" not in word and unicodedata.is_normalized("NFC", word) and word.lower().isalpha()))
+
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word as little-endian unsigned 32-bit numbers."""
+        plain = [w for w in words if self.plain(w)]
+        out = {}
+        if plain:
+            ids = self.fast.encode_to_numpy("".join(w.lower() + WORD_END for w in plain), disallowed_special=()).astype("<u4")
+            data, at = ids.tobytes(), 0
+            for word, end in zip(plain, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()):
+                out[word], at = data[at:end], end
+        rest = words if len(plain) == 0 else [w for w in words if w not in out]
+        for word, found in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
+            out[word] = np.array(found.ids, "<u4").tobytes()
+        return out

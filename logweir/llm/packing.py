@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -13,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweir.llm.bpe import WordEncoder
 from logweir.llm.common import stored
 
 CAPACITY = 4096
@@ -35,17 +35,10 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.words = WordEncoder(path)
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        got = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(chunks, got)}
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [[] if t is None else t.replace("\n", " ").split(" ") for t in texts]
         known, passing = self.recent, {}
@@ -56,8 +49,8 @@ class Encoder:
         for c in [c for c in units if c in self.older]:
             known[c] = self.older[c]
             units.discard(c)
-        known |= self._learn([c for c in units if len(c) <= CHUNK_CHARS])
-        passing |= self._learn([c for c in units if len(c) > CHUNK_CHARS])
+        known |= self.words.encode([c for c in units if len(c) <= CHUNK_CHARS])
+        passing |= self.words.encode([c for c in units if len(c) > CHUNK_CHARS])
         for c in ended:
             stem = c[:-1]
             (known if len(stem) <= CHUNK_CHARS else passing)[c] = (known.get(stem) or passing[stem]) + known[c[-1]]

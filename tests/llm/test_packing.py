@@ -5,6 +5,8 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -15,6 +17,16 @@ SF_DIR = "/root/testdata/sf0.001"
 PATH = tokenizer("word_bpe_49k.json")
 
 
+LIBRARY, ENCODER = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text() | st.text(alphabet="aBZ .,'s\t\n19-!éÉЖжßΣσİ\u0301ǅ<|>日", max_size=40))
+def test_cached_ids_are_the_librarys(text):
+    want = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert ENCODER.words.fast and ENCODER.encode([text]) == [np.array(want, "<u4").tobytes()]
+
+
 def ids_of(text):
     return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [1]
 
