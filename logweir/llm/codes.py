@@ -22,11 +22,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import stored
+from logweir.llm.common import Tables, stored
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: The share of the entries that are kept at first, and the least.
-KEPT_AT_FIRST, KEPT_LEAST = 1 / 4, 1 / 32
+KEPT_AT_FIRST, KEPT_LEAST = 1 / 8, 1 / 32
 #: Components beyond it would make squared distances inexact.
 LARGEST = 1 << 27
 #: What double precision and a square root may be off, relative to the value; amply.
@@ -182,7 +182,7 @@ def _start(rows: DataFrame, books: np.ndarray, keep: list[int], scale: int) -> D
                 state = [Bounds.searched(x[p], books[p], keep[p]) for p in range(len(books))]
                 yield frame[["id", "label"]].assign(**_packed(state, x), before=b"")
 
-    return stored(rows.mapInPandas(searched, f"{kept}, {_STATE}, before binary"))
+    return rows.mapInPandas(searched, f"{kept}, {_STATE}, before binary")
 
 
 def _next(state: DataFrame, old: np.ndarray, books: np.ndarray, held: list[int], keep: list[int]) -> DataFrame:
@@ -205,7 +205,7 @@ def _next(state: DataFrame, old: np.ndarray, books: np.ndarray, held: list[int],
                     looked=[r.tobytes() for r in np.stack(looked, 1).astype("<u2")])
 
     names = [f"{f.name} {f.dataType.simpleString()}" for f in state.schema.fields if f.name != "looked"]
-    return stored(state.mapInPandas(settled, ", ".join(names) + ", looked binary"))
+    return state.mapInPandas(settled, ", ".join(names) + ", looked binary")
 
 
 def _changes(state: DataFrame, shape: tuple[int, int, int], keep: list[int]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -295,14 +295,16 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     k = books.shape[1]
     keep = [min(k - 1, max(1, round(k * KEPT_AT_FIRST)))] * parts
     least = round(k * KEPT_LEAST)
-    state = _start(alike, books, keep, scale)
+    tables = Tables(vectors.sparkSession, "codes")
+    state = tables.write("0", _start(alike, books, keep, scale))
     sums, counts, held = np.zeros_like(books), np.zeros(books.shape[:2], np.int64), keep
-    for _ in range(rounds):
+    for r in range(rounds):
         ds, dn, looked = _changes(state, books.shape, held)
         sums, counts, old = sums + ds, counts + dn, books
         books = averages(old, sums, counts)
         keep = [worth_keeping(n[: b + 2], k, least) if n.any() else b for n, b in zip(looked, held)]
-        state, held = _next(state, old, books, held, keep), keep
+        state, held = tables.write(str(r + 1), _next(state, old, books, held, keep)), keep
+        tables.remove(str(r))
 
     def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.session import cut_lineage
+from logweir.session import cut_lineage, shared_folder
 
 #: Odd constants of the finaliser below; any odd numbers would do.
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -44,3 +46,19 @@ def small_batches(spark: SparkSession) -> SparkSession:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, with its lineage cut."""
     return cut_lineage(df)
+
+
+class Tables:
+    """Compressed tables below a folder of their own in the shared folder, which can be removed one by one."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.folder = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def remove(self, name: str) -> None:
+        """Remove a table that nothing reads any more."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
