@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.operators.slices import SLICE_MAX_ROWS, SLICE_SECONDS, with_previous, with_slices
+from logweir.operators.scan import SLICE_MAX_ROWS, with_previous
 from logweir.settings import BUFFER_HIGH_WATER, BUFFER_LOW_WATER
 
 KEY = "partition_id"
@@ -33,15 +33,14 @@ def mark(high: int, low: int, lag_high: int | None = None) -> Column:
 
 def _marked(
     samples: DataFrame, high: int, low: int, lag_high: int | None,
-    seeds: DataFrame | None, slice_seconds: int, slice_max_rows: int | None,
+    seeds: DataFrame | None, slice_max_rows: int,
 ) -> DataFrame:
     """Samples at a mark with ``_was_paused``, the flag before each of them."""
     marks = samples.withColumn("_mark", mark(high, low, lag_high)).filter(F.col("_mark").isNotNull())
-    sliced = with_slices(marks, [KEY], ORDER, slice_seconds, slice_max_rows)
     if seeds is not None:
         seeds = seeds.select(KEY, F.col("paused").cast("int").alias("_mark"))
     return (
-        with_previous(sliced, [KEY], ORDER, "_mark", "_before", seeds)
+        with_previous(marks, [KEY], ORDER, "_mark", "_before", seeds, slice_max_rows)
         .withColumn("_was_paused", F.coalesce("_before", F.lit(0)) == 1)
         .drop("_before")
     )
@@ -53,14 +52,13 @@ def backpressure_states(
     low: int = BUFFER_LOW_WATER,
     lag_high: int | None = None,
     seeds: DataFrame | None = None,
-    slice_seconds: int = SLICE_SECONDS,
-    slice_max_rows: int | None = SLICE_MAX_ROWS,
+    slice_max_rows: int = SLICE_MAX_ROWS,
 ) -> DataFrame:
     """Every sample with ``state``: high_water, low_water (only while paused) or normal.
 
     ``seeds(partition_id, paused)`` carries the flags over from an earlier batch.
     """
-    marked = _marked(samples, high, low, lag_high, seeds, slice_seconds, slice_max_rows)
+    marked = _marked(samples, high, low, lag_high, seeds, slice_max_rows)
     state = (F.when(F.col("_mark") == 1, "high_water")
              .when(F.col("_was_paused"), "low_water").otherwise("normal"))
     between = samples.filter(mark(high, low, lag_high).isNull())
@@ -74,11 +72,10 @@ def pause_resume_events(
     low: int = BUFFER_LOW_WATER,
     lag_high: int | None = None,
     seeds: DataFrame | None = None,
-    slice_seconds: int = SLICE_SECONDS,
-    slice_max_rows: int | None = SLICE_MAX_ROWS,
+    slice_max_rows: int = SLICE_MAX_ROWS,
 ) -> DataFrame:
     """Samples at which a partition was paused or resumed, with ``action`` PAUSE or RESUME."""
-    marked = _marked(samples, high, low, lag_high, seeds, slice_seconds, slice_max_rows)
+    marked = _marked(samples, high, low, lag_high, seeds, slice_max_rows)
     turned = marked.filter((F.col("_mark") == 1) != F.col("_was_paused"))
     action = F.when(F.col("_mark") == 1, "PAUSE").otherwise("RESUME")
     return turned.select(*samples.columns, action.alias("action"))

@@ -17,13 +17,16 @@ def recent_events(
 ) -> DataFrame:
     """The newest events of all three kinds with level and text.
 
+    ``turns`` say at which depth, and at which lag if they have one, a partition was turned.
     Each kind is cut to its own newest rows first; the feed cannot contain more of any kind.
     """
+    lag = F.concat(F.lit(", lag "), F.col("lag").cast("string")) if "lag" in turns.columns else F.lit(None)
     pauses = turns.select(
         F.col("ts").alias("happened_at"),
         F.when(F.col("action") == "PAUSE", "WARNING").otherwise("INFO").alias("level"),
         F.concat(F.lit("partition "), F.col("partition_id").cast("string"), F.lit(" "),
-                 F.col("action"), F.lit(" at depth "), F.col("depth").cast("string")).alias("text"))
+                 F.col("action"), F.lit(" at depth "), F.col("depth").cast("string"),
+                 F.coalesce(lag, F.lit(""))).alias("text"))
     dead = letters.select(
         F.col("failed_at").alias("happened_at"), F.lit("ERROR").alias("level"),
         F.concat(F.lit("dead letter "), F.col("id").cast("string"), F.lit(": "),

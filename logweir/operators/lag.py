@@ -127,3 +127,21 @@ def consumer_health(logs: DataFrame, lag: DataFrame, samples: DataFrame) -> Data
         F.when(paused, "PAUSED").otherwise("RUNNING").alias("status"),
         F.when(F.max("lag") < LAG_GREEN_BELOW, "Healthy").otherwise("Warning").alias("health"),
     )
+
+
+def lag_at(events: DataFrame, readings: DataFrame, every: int, time_col: str = "ts") -> DataFrame:
+    """``events`` with ``lag``: the partition's latest reading up to each, NULL if there is none of late.
+
+    Polls come each ``every`` seconds or so; a reading counts from its own stretch of that length
+    or the one before, so events meet a few readings by equality of partition and stretch.
+    """
+    width = F.lit(every * 1_000_000).cast("bigint")
+    stretch = F.call_function("div", F.unix_micros(time_col), width)
+    polls = readings.groupBy("partition_id", F.call_function("div", F.unix_micros("recorded_at"), width).alias("_at")).agg(
+        F.array_sort(F.collect_list(F.struct("recorded_at", "id", "lag"))).alias("_polls"))
+    before = polls.select("partition_id", (F.col("_at") + 1).alias("_at"), F.col("_polls").alias("_earlier"))
+    met = (events.drop("lag").withColumn("_at", stretch).join(polls, ["partition_id", "_at"], "left")
+           .join(before, ["partition_id", "_at"], "left"))
+    own = F.filter("_polls", lambda r: r["recorded_at"] <= F.col(time_col))
+    latest = F.coalesce(F.get(own, F.size(own) - 1)["lag"], F.get("_earlier", F.size("_earlier") - 1)["lag"])
+    return met.withColumn("lag", latest).select(*[c for c in events.columns if c != "lag"], "lag")

@@ -247,7 +247,9 @@ def backpressure_states(spark, d):
 
 @query
 def pause_resume_events(spark, d):
-    return backpressure.pause_resume_events(inputs.buffer_samples(spark, d))
+    """Turns with the depth and the lag at which they happened."""
+    turns = backpressure.pause_resume_events(inputs.buffer_samples(spark, d))
+    return lag.lag_at(turns, inputs.lag_readings(spark, d), every=HOUR)
 
 
 @query
@@ -370,8 +372,7 @@ def logs_in_dlq(spark, d):
 @query
 def recent_events(spark, d):
     return feed.recent_events(
-        backpressure.pause_resume_events(inputs.buffer_samples(spark, d)),
-        inputs.dlq_log(spark, d), metrics.slo_breaches(_errors(spark, d)))
+        pause_resume_events(spark, d), inputs.dlq_log(spark, d), metrics.slo_breaches(_errors(spark, d)))
 
 
 @query

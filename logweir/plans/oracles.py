@@ -146,6 +146,12 @@ paused AS (
 
 SAMPLES = _samples()
 
+TURNS = """
+lagged AS (
+  SELECT t.event_id, t.partition_id, t.ts, t.depth, t.action,
+         CASE WHEN r.recorded_at >= date_trunc('hour', t.ts) - INTERVAL 1 HOUR THEN r.lag END AS lag
+  FROM turns t ASOF LEFT JOIN readings r ON t.partition_id = r.partition_id AND t.ts >= r.recorded_at)"""
+
 RECOVERY = """
 peaks AS (
   SELECT partition_id, max(lag) AS peak_lag FROM readings GROUP BY 1),
@@ -320,7 +326,7 @@ SELECT event_id, partition_id, ts, depth,
        CASE WHEN depth >= 1000 THEN 'high_water' WHEN depth <= 200 AND before = 1 THEN 'low_water'
             ELSE 'normal' END AS state
 FROM scanned"""),
-    "pause_resume_events": _sql(SAMPLES, "SELECT * FROM turns"),
+    "pause_resume_events": _sql(OFFSETS, "SELECT * FROM lagged", SAMPLES, TURNS),
     "paused_partitions": _sql(_samples(800, 100), "SELECT partition_id FROM paused WHERE paused"),
 
     # Dead letters
@@ -386,13 +392,14 @@ WHERE trace_id IN (SELECT trace_id FROM letters WHERE trace_id IS NOT NULL)"""),
     "recent_events": _sql(HOURLY, """
 SELECT * FROM (
   SELECT ts AS happened_at, CASE WHEN action = 'PAUSE' THEN 'WARNING' ELSE 'INFO' END AS level,
-         'partition ' || CAST(partition_id AS VARCHAR) || ' ' || action || ' at depth ' || CAST(depth AS VARCHAR) AS text
-  FROM turns
+         'partition ' || CAST(partition_id AS VARCHAR) || ' ' || action || ' at depth ' || CAST(depth AS VARCHAR)
+         || coalesce(', lag ' || CAST(lag AS VARCHAR), '') AS text
+  FROM lagged
   UNION ALL SELECT failed_at, 'ERROR', 'dead letter ' || CAST(id AS VARCHAR) || ': ' || failure_reason FROM letters
   UNION ALL SELECT window_end, 'WARNING',
          service || ' error rate ' || CAST(error_rate_pct AS VARCHAR) || ' percent'
   FROM errors WHERE error_rate_pct > 10)
-ORDER BY happened_at DESC, level, text LIMIT 20""", LETTERS[len(CHECKED) + 1:], SAMPLES),
+ORDER BY happened_at DESC, level, text LIMIT 20""", LETTERS[len(CHECKED) + 1:], OFFSETS, SAMPLES, TURNS),
     "log_gaps": _sql(GAPS.format(time="ts", table="events"), "SELECT * FROM gaps"),
     "ingest_delay": _sql(CHECKED, """
 SELECT service, count(*) AS messages, min(ms) AS min_ms, quantile_disc(ms, 0.5) AS p50_ms,

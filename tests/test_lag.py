@@ -4,10 +4,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from logweir.operators import backpressure as bp
 from logweir.operators import lag
-from logweir.operators.slices import with_slices
+from logweir.operators import scan
 
 T0 = datetime(2024, 1, 1)
 SAMPLES = "event_id long, partition_id int, ts timestamp, depth long"
@@ -43,7 +44,7 @@ def loop(rows, paused=()):
     return states, sorted(turns), paused
 
 
-@pytest.mark.parametrize("max_rows", [None, 3])
+@pytest.mark.parametrize("max_rows", [10**6, 3])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_states_equal_the_loop(spark, seed, max_rows):
     rows = make_samples(seed)
@@ -72,15 +73,46 @@ def test_flags_carry_over(spark):
     assert {r["partition_id"] for r in left if r["paused"]} == after
 
 
-def test_crowded_slices_are_cut_in_order(spark):
-    df = with_slices(spark.createDataFrame(make_samples(4), SAMPLES), ["partition_id"],
-                     ("ts", "event_id"), max_rows=2)
-    rows = sorted(df.collect(), key=lambda r: (r["partition_id"], r["ts"], r["event_id"]))
-    for a, b in zip(rows, rows[1:]):
-        assert a["partition_id"] != b["partition_id"] or (
-            (a["slice"], a["sub_slice"]) <= (b["slice"], b["sub_slice"]))
-    sizes = df.groupBy("partition_id", "slice", "sub_slice").count().agg({"count": "max"}).first()[0]
-    assert sizes <= 10  # 500 samples of one second, 250 of them of one instant
+def test_blocks_of_one_instant(spark, monkeypatch):
+    monkeypatch.setattr(scan, "BLOCK_BITS", 3)
+    rows = [(i * 5 - 2000, i % 2, T0, (0, 500, 1200)[i * i % 3]) for i in range(800)]
+    states, turns, _ = loop(rows)
+    df = spark.createDataFrame(rows, SAMPLES).repartition(4)
+    assert {r["event_id"]: r["state"] for r in bp.backpressure_states(df, slice_max_rows=50).collect()} == states
+    assert sorted((r["event_id"], r["action"]) for r in bp.pause_resume_events(df, slice_max_rows=50).collect()) == turns
+
+
+def test_an_instant_of_a_million_samples(spark):
+    """Every sample in one instant of one partition: the turns are those of the loop, found by blocks."""
+    n = 1_000_000
+    depth = F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, 1100).when(F.pmod(F.xxhash64("id"), F.lit(7)) == 1, 100).otherwise(500)
+    df = spark.range(n).select(F.col("id").alias("event_id"), F.lit(0).alias("partition_id"), F.lit(T0).alias("ts"),
+                               depth.cast("bigint").alias("depth"))
+    paused, turns = False, 0
+    for depths in df.orderBy("event_id").select("depth").toPandas()["depth"].to_numpy():
+        if depths >= 1000 and not paused or depths <= 200 and paused:
+            paused, turns = not paused, turns + 1
+    got = bp.pause_resume_events(df, slice_max_rows=100_000)
+    assert got.count() == turns > 100_000
+    assert got.filter("action = 'PAUSE'").count() == (turns + 1) // 2
+
+
+def test_building_the_scan_runs_no_job(spark):
+    df = spark.createDataFrame(make_samples(4), SAMPLES)
+    spark.sparkContext.setJobGroup("building", "")
+    bp.backpressure_states(df, slice_max_rows=2)
+    made = bp.pause_resume_events(df, slice_max_rows=2)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("done", "")
+    assert "ResolvedHint" not in made._jdf.queryExecution().analyzed().toString()
+
+
+def test_lag_at(spark):
+    readings_ = readings(spark, [(0, 0, 10), (30, 0, 20), (30, 1, 5), (300, 0, 90)])
+    events = spark.createDataFrame([(i, p, T0 + timedelta(seconds=s)) for i, (p, s) in enumerate(
+        [(0, 0), (0, 29), (0, 31), (0, 119), (0, 121), (1, 10), (0, 299), (2, 40)])], "event_id long, partition_id int, ts timestamp")
+    got = {r["event_id"]: r["lag"] for r in lag.lag_at(events, readings_, 60).collect()}
+    assert got == {0: 10, 1: 10, 2: 20, 3: 20, 4: None, 5: None, 6: None, 7: None}
 
 
 def test_lag_bound_counts_as_high(spark):
