@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -33,15 +33,18 @@ from logweir.settings import (
 
 
 def dead_letter_rows(
-    rejected: DataFrame, failed_at: Column, value: str = "value", retry_count: int = 0
+    rejected: DataFrame, failed_at: Column, value: str = "value", retry_count: int = 0,
+    keep: Sequence[str] = ("id",),
 ) -> DataFrame:
-    """dlq_log columns from rejected messages. Schema failures are not retried: count 0."""
+    """dlq_log columns from rejected messages. Schema failures are not retried: count 0.
+
+    Columns to ``keep`` are passed through where they are there.
+    """
     raw = F.col(value).cast("string")
     if dict(rejected.dtypes)[value] == "binary":
         raw = F.make_valid_utf8(raw)
-    keep = [c for c in ("id",) if c in rejected.columns]
     return rejected.select(
-        *keep,
+        *[c for c in keep if c in rejected.columns],
         failed_at.cast("timestamp").alias("failed_at"),
         raw.alias("original_message"),
         F.left("failure_reason", F.lit(REASON_MAX_CHARS)).alias("failure_reason"),

@@ -130,30 +130,6 @@ def stage_counts(stages: Mapping[str, DataFrame], seconds: int) -> DataFrame:
     return counts.withColumn("messages_per_sec", rate)
 
 
-def checked_stage_counts(checked: DataFrame, seconds: int) -> DataFrame:
-    """The same from one validated frame, in one pass over its rows.
-
-    Consumed are messages that could be decoded, processed those without a broken rule; stored
-    are both those and the dead letters.
-    """
-    valid = F.col("rule").isNull()
-    held = {"ingest": F.lit(True), "process": valid, "store": valid | F.col("rule").isNotNull(),
-            "consume": valid | ~F.col("rule").isin("invalid_utf8", "invalid_json")}
-    totals = checked.agg(*(F.count_if(cond).alias(name) for name, cond in held.items()))
-    stages = totals.select(F.explode(F.array(*(
-        F.struct(F.lit(n).alias("stage"), F.col(n).alias("messages")) for n in held))).alias("s")).select("s.*")
-    return stages.withColumn("messages_per_sec", ratio(F.col("messages"), F.lit(seconds), 4, "decimal(14,4)"))
-
-
-def checked_reconciliation(checked: DataFrame) -> DataFrame:
-    """Produced, processed and dead-lettered counts of one validated frame, in one pass."""
-    rule = F.col("rule")
-    return checked.agg(
-        F.count(F.lit(1)).alias("produced"), F.count_if(rule.isNull()).alias("processed"),
-        F.count_if(rule.isNotNull()).alias("dead_lettered"),
-    ).withColumn("missing", F.col("produced") - F.col("processed") - F.col("dead_lettered"))
-
-
 def reconcile_counts(produced: DataFrame, processed: DataFrame, letters: DataFrame) -> DataFrame:
     """Produced, processed, dead-lettered and missing message counts, in one row."""
     parts = {"produced": produced, "processed": processed, "dead_lettered": letters}

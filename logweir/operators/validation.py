@@ -254,6 +254,20 @@ def validate_logs(
     return check_messages(df, LOG_MESSAGE_SCHEMA, value, extra, all_rules)
 
 
+def only_known(validated: DataFrame, services: DataFrame) -> DataFrame:
+    """Reject valid messages whose service isn't in the table ``services``.
+
+    A left join on the service; Spark sends the table to all tasks if it is small enough for that.
+    """
+    known = services.select(F.col("service").alias("_known")).distinct()
+    strange = F.col("rule").isNull() & F.col("_known").isNull()
+    check = known_service_check()
+    return validated.join(known, F.col("service") == F.col("_known"), "left").withColumns({
+        "rule": F.when(strange, check.code).otherwise(F.col("rule")),
+        "failure_reason": F.when(strange, SCHEMA_FAILURE + check.reason).otherwise(F.col("failure_reason")),
+    }).drop("_known")
+
+
 def valid_only(validated: DataFrame) -> DataFrame:
     return validated.filter(F.col("rule").isNull()).drop("rule", "failure_reason")
 

@@ -8,8 +8,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir import schemas
 from logweir.operators import (
-    backpressure, dead_letters, feed, lag, metrics, quality, scenarios, search, trends, validation)
+    backpressure, dead_letters, feed, lag, metrics, offsets, quality, scenarios, search, trends, validation)
 from logweir.plans import inputs
 from logweir.plans.inputs import HOUR
 from logweir.settings import DLQ_RETENTION_HOURS, RECENT_DLQ
@@ -396,21 +397,46 @@ def delivery_stats(spark, d):
 
 @query
 def stage_counts(spark, d):
-    return quality.checked_stage_counts(inputs.validated(spark, d), seconds=30 * 24 * HOUR)
+    """Messages as produced, as decoded, and as the tables hold them that a run has written."""
+    seen = inputs.stored_run(spark, d).snapshot(spark)
+    logs, letters = seen.table("processed_logs", schemas.STORED_LOGS), seen.table("dlq_log", schemas.STORED_LETTERS)
+    undecodable = F.col("failure_reason").startswith(validation.DECODE_FAILURE)
+    parts = {"ingest": inputs.events(spark, d), "process": logs, "store": logs.select("id").unionByName(letters.select("id")),
+             "consume": logs.select("id").unionByName(letters.filter(~undecodable).select("id"))}
+    return quality.stage_counts(parts, seconds=30 * 24 * HOUR)
 
 
 @query
 def reconcile_counts(spark, d):
-    return quality.checked_reconciliation(inputs.validated(spark, d))
+    """What was produced against what the tables hold that a run has written."""
+    seen = inputs.stored_run(spark, d).snapshot(spark)
+    return quality.reconcile_counts(inputs.events(spark, d), seen.table("processed_logs", schemas.STORED_LOGS),
+                                    seen.table("dlq_log", schemas.STORED_LETTERS))
+
+
+@query
+def lost_and_doubled(spark, d):
+    """Runs of offsets that a faulty run's tables lack, or have twice."""
+    stored = inputs.stored_records(inputs.stored_run(spark, d, faulty=True), spark)
+    return offsets.reconcile_offsets(inputs.produced_records(spark, d), stored)
 
 
 @query
 def lost_messages(spark, d):
-    """A run in which timed-out messages were neither stored nor dead-lettered."""
-    checked = inputs.validated(spark, d)
-    timed_out = F.col("rule").isNull() & (F.col("event_id") % 20 == inputs.TIMED_OUT)
-    kept = checked.filter(~timed_out)
-    return quality.lost_messages(inputs.raw_logs(spark, d), kept, kept.filter(F.lit(False))).select("event_id", "key", "value")
+    """The messages behind the offsets that a faulty run's tables lack."""
+    stored = inputs.stored_records(inputs.stored_run(spark, d, faulty=True), spark)
+    produced = inputs.produced_records(spark, d)
+    lost = offsets.lost_offsets(offsets.offset_sets(produced), offsets.offset_sets(stored))
+    return produced.join(lost, ["topic", "partition", "offset"], "left_semi").select(
+        "event_id", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query
+def stored_lookback(spark, d):
+    """An hourly look-back over the metric table that a run has folded."""
+    pipeline = inputs.stored_run(spark, d)
+    pipeline.fold(spark)
+    return pipeline.lookback(spark, "metrics_error_rate", 1440, AS_OF)
 
 
 @query

@@ -7,14 +7,18 @@ type, and one of six corruptions for 6 in 20 messages.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logweir.operators.dead_letters import dead_letter_rows
 from logweir.operators.validation import invalid_only, valid_only, validate_logs
-from logweir.session import pin_utc
-from logweir.settings import UNKNOWN_SERVICE_KEY
+from logweir.schemas import KAFKA_RECORD, STORED_LETTERS, STORED_LOGS
+from logweir.session import pin_utc, shared_folder
+from logweir.settings import LOG_TOPIC, UNKNOWN_SERVICE_KEY
+from logweir.streaming.pipeline import Pipeline
 
 TIMEOUT_REASON = "Processing timeout"
 HOUR = 3600
@@ -22,6 +26,8 @@ HOUR = 3600
 # Corruption class by event_id % 20.
 NO_TIMESTAMP, BAD_SEVERITY, BAD_TRACE, NO_SERVICE, OBJECT_MESSAGE, BROKEN_JSON, TIMED_OUT = (
     3, 5, 7, 9, 11, 13, 17)
+# What a faulty run loses (single messages and stretches of them) and stores twice.
+LOST_OF, LOST_AT, LOST_STRETCH, TWICE_OF = 97, 5, 40, 33
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,3 +184,37 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("message"),
         F.md5(F.col("doc_id").cast("string")).alias("trace_id"))
     return d.select("doc_id", "source", "lang", F.to_json(body).alias("value"))
+
+
+def produced_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages in the layout of a source: partition and offset from the event's number."""
+    return raw_logs(spark, sf_dir).select(
+        "event_id", F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+        F.lit(LOG_TOPIC).alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 4).alias("offset"), F.col("ts").alias("timestamp"))
+
+
+def stored_run(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Pipeline:
+    """A pipeline that has stored all messages in its tables in the shared folder, in three batches.
+
+    With ``faulty`` the tables lack whole stretches and single messages that were produced, and have
+    messages of the first batch that the second delivers once more.
+    """
+    pipeline = Pipeline(f"{shared_folder(spark)}/run-{uuid.uuid4()}", window_seconds=HOUR)
+    records, number = produced_records(spark, sf_dir), F.col("event_id")
+    arrived = F.lit(True)
+    if faulty:
+        arrived = ~((number % LOST_OF == LOST_AT) | ((number / LOST_STRETCH).cast("bigint") % LOST_OF == LOST_AT))
+    for batch in range(3):
+        part = number % 3 == batch
+        if faulty and batch == 1:
+            part = part | (number % TWICE_OF == 0) & (number % 3 == 0)
+        pipeline.process(records.filter(arrived & part).select(*KAFKA_RECORD.names), batch)
+    return pipeline
+
+
+def stored_records(pipeline: Pipeline, spark: SparkSession) -> DataFrame:
+    """topic, partition and offset of every row in the log and dead-letter tables of one snapshot."""
+    seen = pipeline.snapshot(spark)
+    logs, letters = seen.table("processed_logs", STORED_LOGS), seen.table("dlq_log", STORED_LETTERS)
+    return logs.select("topic", "partition", "offset").unionByName(letters.select("topic", "partition", "offset"))

@@ -423,10 +423,16 @@ FROM (SELECT 'ingest' AS stage, count(*) AS messages FROM raw
 SELECT produced, processed, dead_lettered, produced - processed - dead_lettered AS missing
 FROM (SELECT count(*) AS produced, (SELECT count(*) FROM valid) AS processed,
              (SELECT count(*) FROM judged WHERE rule IS NOT NULL) AS dead_lettered FROM raw)"""),
-    "lost_messages": _sql(LETTERS, """
-SELECT event_id, key, value FROM raw
-WHERE event_id NOT IN (SELECT event_id FROM valid WHERE event_id NOT IN (SELECT id FROM letters))
-  AND event_id NOT IN (SELECT event_id FROM judged WHERE rule IS NOT NULL)"""),
+    "lost_messages": _sql(BASE, "SELECT event_id, key, value FROM raw WHERE event_id % 97 = 5 OR event_id // 40 % 97 = 5"),
+    "lost_and_doubled": _sql(BASE, """
+SELECT topic, partition, kind, min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS messages
+FROM (SELECT *, "offset" - row_number() OVER (PARTITION BY partition, kind ORDER BY "offset") AS run FROM faults)
+GROUP BY topic, partition, kind, run""", """
+faults AS (
+  SELECT 'logs' AS topic, CAST(event_id % 4 AS INT) AS partition, event_id // 4 AS "offset",
+         CASE WHEN event_id % 97 = 5 OR event_id // 40 % 97 = 5 THEN 'lost' ELSE 'double' END AS kind
+  FROM raw WHERE event_id % 97 = 5 OR event_id // 40 % 97 = 5 OR event_id % 33 = 0)"""),
+    "stored_lookback": _sql(HOURLY, "SELECT * FROM errors WHERE window_start >= TIMESTAMP '2024-01-31' - INTERVAL 1440 MINUTE"),
     "retained_logs": _sql(
         CHECKED, "SELECT * FROM valid WHERE log_ts >= TIMESTAMP '2024-01-31' - INTERVAL 24 HOUR"),
     "retained_dlq": _sql(LETTERS, f"""
@@ -492,7 +498,7 @@ expectations(scenario, metric, test, bound) AS (VALUES
 _DECIMALS = {
     "malformed_pct": ("malformed_pct",),
     "throughput_windows": ("messages_per_sec",), "throughput_recent": ("messages_per_sec",),
-    "error_rate_windows": ("error_rate_pct",), "errors_recent": ("error_rate_pct",),
+    "error_rate_windows": ("error_rate_pct",), "errors_recent": ("error_rate_pct",), "stored_lookback": ("error_rate_pct",),
     "throughput_summary": ("current_rate", "peak_rate", "average_rate"),
     "error_by_service": ("error_rate_pct",), "error_breakdown": ("error_rate_pct",),
     "error_overall": ("overall_error_rate_pct",), "slo_breaches": ("error_rate_pct",),

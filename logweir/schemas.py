@@ -36,6 +36,11 @@ PROCESSED_LOGS = _struct(
     "message STRING, trace_id STRING"
 )
 
+_RECORD = "topic STRING, partition INT, offset BIGINT"
+
+# The stored forms say which record a row comes from.
+STORED_LOGS = T.StructType(PROCESSED_LOGS.fields + _struct(_RECORD).fields)
+
 METRICS_THROUGHPUT = _struct(
     "window_start TIMESTAMP, window_end TIMESTAMP, service STRING, message_count BIGINT, "
     "messages_per_sec DECIMAL(10,2)"
@@ -55,6 +60,8 @@ DLQ_LOG = _struct(
     "retry_count INT"
 )
 
+STORED_LETTERS = T.StructType(DLQ_LOG.fields + _struct(_RECORD).fields)
+
 # Additive per-batch counts: what the streaming pipeline appends per micro-batch.
 WINDOW_DELTAS = _struct(
     "window_start TIMESTAMP, window_end TIMESTAMP, service STRING, total_messages BIGINT, "

@@ -1,20 +1,21 @@
 """Parquet tables partitioned by day.
 
-A micro-batch writes its own partition ``<day>/batch_id=<n>`` of each table and replaces it when
-the batch is replayed, so a restart never stores anything twice. There is no transaction across
-tables: a reader may see one table a batch ahead of another. Metrics are written last.
+``commits`` says which files of the pipeline's tables count. A table on its own, such as the lag
+samples of a query, is written by ``write_batch``: a batch has its own partition
+``<day>/run=<query>/batch_id=<n>`` and replaces it when it is replayed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 DAY = "day"
+RUN = "run"
 BATCH = "batch_id"
 
 
@@ -23,33 +24,30 @@ def day_of(time: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_micros(time) / 86_400_000_000).cast("int"))
 
 
-def write_batch(df: DataFrame, path: str, time_col: str, batch_id: int) -> None:
-    """Write (or replace) one micro-batch's partitions of a table."""
+def write_batch(df: DataFrame, path: str, time_col: str, run: str, batch_id: int) -> None:
+    """Write (or replace) the partitions of one micro-batch of one run of a query."""
     (
-        df.withColumn(DAY, day_of(F.col(time_col))).withColumn(BATCH, F.lit(batch_id))
+        df.withColumn(DAY, day_of(F.col(time_col))).withColumn(RUN, F.lit(run)).withColumn(BATCH, F.lit(batch_id))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY, BATCH).parquet(path)
+        .partitionBy(DAY, RUN, BATCH).parquet(path)
     )
 
 
-def write_days(df: DataFrame, path: str, time_col: str) -> None:
-    """Write (or replace) whole days of a table from a batch job.
+def sized(rows: DataFrame, time_col: str) -> DataFrame:
+    """Rows dealt by day so that files have a good size; a day that holds most of the rows is split.
 
-    Rebalancing sizes the files; it splits a day that holds most of the rows. It needs adaptive
-    execution, without which it would put each day into one task, so it is skipped then.
+    It needs adaptive execution, without which it would put each day into one task, so it is
+    skipped then.
     """
-    rows = df.withColumn(DAY, day_of(F.col(time_col)))
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        rows = rows.hint("rebalance", DAY)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DAY).parquet(path))
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return rows
+    return rows.withColumn(DAY, day_of(F.col(time_col))).hint("rebalance", DAY).drop(DAY)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table with its partition columns; filters on ``day`` prune directories."""
     full = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-    if BATCH not in full.names:
-        full = full.add(BATCH, T.LongType())
+    full = full.add(RUN, T.StringType()).add(BATCH, T.LongType())
     return spark.read.schema(full).parquet(path)
 
 
@@ -59,10 +57,10 @@ def since(df: DataFrame, time_col: str, start: datetime | Column) -> DataFrame:
     return df.filter((F.col(DAY) >= day_of(at)) & (F.col(time_col) >= at))
 
 
-def processed_rows(valid: DataFrame) -> DataFrame:
-    """processed_logs rows; ``valid`` carries ``id`` and the validated fields."""
+def processed_rows(valid: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """processed_logs rows; ``valid`` carries ``id`` and the validated fields, and columns to keep ``also``."""
     return valid.select("id", F.current_timestamp().alias("ingested_at"), "log_ts", "service",
-                        "severity", "message", "trace_id")
+                        "severity", "message", "trace_id", *also)
 
 
 def lag_snapshot(
@@ -96,5 +94,5 @@ def presented(df: DataFrame) -> DataFrame:
     return shown.withColumns(texts) if texts else shown
 
 
-__all__ = ["day_of", "write_batch", "write_days", "read_table", "since", "processed_rows", "lag_snapshot",
+__all__ = ["day_of", "write_batch", "sized", "read_table", "since", "processed_rows", "lag_snapshot",
            "export_json", "decimals_as_doubles", "presented"]

@@ -65,6 +65,18 @@ def of_topic(records: DataFrame, topic: str) -> DataFrame:
     return records.filter(F.col("topic") == topic)
 
 
+#: Bits of an id below those of the topic: partitions above offsets.
+PARTITION_BITS, OFFSET_BITS = 14, 48
+
+
 def with_record_id(records: DataFrame) -> DataFrame:
-    """Add ``id``, the same for a record however often it is read."""
-    return records.withColumn("id", F.xxhash64("topic", "partition", "offset"))
+    """Add ``id``, a number that no other record of the two topics has, however often it is read.
+
+    It is topic, partition and offset side by side, so the newer of two records of a partition has
+    the larger one. Nothing is hashed. A partition or an offset beyond its bits is an error.
+    """
+    fits = F.col("partition").between(0, 2**PARTITION_BITS - 1) & F.col("offset").between(0, 2**OFFSET_BITS - 1)
+    other = (F.col("topic") != LOG_TOPIC).cast("bigint")
+    number = ((other * 2**PARTITION_BITS + F.col("partition")) * 2**OFFSET_BITS) + F.col("offset")
+    return records.withColumn("id", F.when(fits, number).otherwise(
+        F.raise_error(F.lit("partition or offset too large for a record id")).cast("bigint")))

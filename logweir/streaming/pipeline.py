@@ -1,38 +1,56 @@
 """The streaming pipeline: records in, five tables out.
 
-Each micro-batch is validated once and appended to processed_logs, dlq_log and window_deltas.
-Window metrics are not kept as streaming state: a batch contributes its counts per window as
-additive rows, and readers (or ``close_days``) sum them. So a window needs no watermark to be
-complete, a late message still counts in the window it belongs to, the last window is there as
-soon as its batch is, and the state does not grow with the number of windows.
+Each micro-batch is validated once and stored in processed_logs, dlq_log and window_deltas under
+one commit. Window metrics are not kept as streaming state: a batch contributes its counts per
+window as additive rows, and readers sum them. So a window needs no watermark to be complete, a
+late message still counts in the window it belongs to, the last window is there as soon as its
+batch is, and the state does not grow with the number of windows. ``fold`` turns the additive rows
+into totals and metric tables, for those days only that batches have touched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from logweir import schemas
+from logweir.functions.text import is_error
+from logweir.operators import metrics
 from logweir.operators.dead_letters import dead_letter_rows, received_letters
 from logweir.operators.metrics import error_rate_windows, throughput_windows, window_counts
-from logweir.operators.validation import invalid_only, valid_only, validate_logs
-from logweir.settings import DLQ_TOPIC, LOG_TOPIC, WINDOW_SECONDS
+from logweir.operators.validation import invalid_only, only_known, valid_only, validate_logs
+from logweir.settings import DLQ_TOPIC, LOG_TOPIC, LOOKBACK_MINUTES, WINDOW_SECONDS
 from logweir.sinks import tables
+from logweir.sinks.commits import Ledger, Snapshot
 from logweir.sources.streams import of_topic, with_record_id
 
+#: Where a row comes from: the identity of a record, which no hash stands for.
+RECORD = ("topic", "partition", "offset")
+#: The run of batches that no streaming query hands over.
+BY_HAND = "by-hand"
+
+
+def run_of(batch: DataFrame) -> str:
+    """The identity of the streaming query at work, the same after each restart from its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or BY_HAND
+
 
 @dataclass
 class Pipeline:
     """``root`` holds the tables and must be storage that all executors share.
 
     ``publish`` receives the dead letters of each batch (for a DLQ topic). With it they are not
-    written to dlq_log directly: they come back through the topic.
+    written to dlq_log directly: they come back through the topic. ``services`` gives the table of
+    known services (column ``service``), read anew for each batch; ``known_services`` is a fixed
+    list. With ``flush_windows`` a batch is one window: it starts where the window before it ended
+    and ends when the batch is stored, by ``clock``; a batch without messages leaves no window, but
+    the next one starts at its end.
     """
 
     root: str
@@ -40,33 +58,63 @@ class Pipeline:
     known_services: Sequence[str] | None = None
     publish: Callable[[DataFrame], None] | None = None
     time_col: str = field(default="log_ts")
+    services: Callable[[SparkSession], DataFrame] | None = None
+    flush_windows: bool = False
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
+
+    def ledger(self, spark: SparkSession) -> Ledger:
+        return Ledger(spark, self.root)
+
+    def snapshot(self, spark: SparkSession) -> Snapshot:
+        """All tables at one point: the same batches in each."""
+        return self.ledger(spark).snapshot()
 
-    def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+    def _deltas(self, valid: DataFrame, window: tuple[datetime, datetime] | None) -> DataFrame:
+        if window is None:
+            return window_counts(valid.withColumn("ingested_at", F.col("arrived_at")), self.window_seconds, self.time_col)
+        counts = valid.groupBy("service").agg(
+            F.count(F.lit(1)).alias("total_messages"), F.count_if(is_error(F.col("severity"))).alias("error_messages"))
+        start, end = (F.lit(t).cast("timestamp") for t in window)
+        return counts.select(start.alias("window_start"), end.alias("window_end"), "service", "total_messages", "error_messages")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Store one micro-batch. Repeating a batch replaces what it stored before."""
+        """Store one micro-batch in all tables, or in none. A batch that is stored already is left as it is."""
+        spark, run = batch.sparkSession, run_of(batch)
+        ledger = self.ledger(spark)
+        if ledger.is_committed(run, batch_id):
+            return
+        window, note = None, {}
+        if self.flush_windows:
+            now = self.clock()
+            before = ledger.snapshot().note(run).get("window_end")
+            window = (datetime.fromisoformat(before) if before else now, now)
+            note = {"window_end": now.isoformat()}
         if batch.isEmpty():
+            if note:
+                ledger.commit(run, batch_id, {}, note)
             return
         records = with_record_id(batch).persist(StorageLevel.MEMORY_AND_DISK)  # one read of the source
         checked = validate_logs(
             of_topic(records, LOG_TOPIC).withColumnRenamed("timestamp", "arrived_at"),
-            known_services=self.known_services,
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+            known_services=self.known_services)
+        if self.services is not None:
+            checked = only_known(checked, self.services(spark))
+        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        name, files = f"{run}-{batch_id}", {}
         try:
-            rejected = dead_letter_rows(invalid_only(checked), F.col("arrived_at"))
+            rejected = dead_letter_rows(invalid_only(checked), F.col("arrived_at"), keep=("id", *RECORD))
             letters = of_topic(records, DLQ_TOPIC).withColumnRenamed("timestamp", "arrived_at")
-            received = received_letters(letters, F.col("arrived_at")).select(*schemas.DLQ_LOG.names)
+            received = received_letters(letters, F.col("arrived_at")).select(*schemas.STORED_LETTERS.names)
             valid = valid_only(checked)
-            tables.write_batch(tables.processed_rows(valid), self.path("processed_logs"), "log_ts", batch_id)
+            logs = tables.processed_rows(valid, RECORD)
+            files["processed_logs"] = ledger.write("processed_logs", logs, "log_ts", name)
             if self.publish is None:
                 received = received.unionByName(rejected)
             else:
                 self.publish(rejected)
-            tables.write_batch(received, self.path("dlq_log"), "failed_at", batch_id)
-            timed = valid.withColumn("ingested_at", F.col("arrived_at"))
-            deltas = window_counts(timed, self.window_seconds, self.time_col)
-            tables.write_batch(deltas, self.path("window_deltas"), "window_start", batch_id)
+            files["dlq_log"] = ledger.write("dlq_log", received, "failed_at", name)
+            files["window_deltas"] = ledger.write("window_deltas", self._deltas(valid, window), "window_start", name)
+            ledger.commit(run, batch_id, files, note)
         finally:
             checked.unpersist()
             records.unpersist()
@@ -81,10 +129,15 @@ class Pipeline:
         trigger = {"processingTime": every} if every else {"availableNow": True}
         return writer.trigger(**trigger).start()
 
-    def counts(self, spark: SparkSession) -> DataFrame:
-        """Current totals per window and service, over all batches."""
-        deltas = tables.read_table(spark, self.path("window_deltas"), schemas.WINDOW_DELTAS)
-        return sum_deltas(deltas)
+    def counts(self, spark: SparkSession, days: tuple | None = None) -> DataFrame:
+        """Totals per window and service over all committed batches: those folded, and the rest.
+
+        ``days`` are the first and the last day to read.
+        """
+        seen, (first, last) = self.snapshot(spark), days or (None, None)
+        totals = seen.table("window_totals", schemas.WINDOW_DELTAS, first, last)
+        recent = seen.table("window_deltas", schemas.WINDOW_DELTAS, first, last)
+        return sum_deltas(totals.unionByName(recent))
 
     def throughput(self, spark: SparkSession) -> DataFrame:
         return throughput_windows(self.counts(spark))
@@ -92,21 +145,60 @@ class Pipeline:
     def error_rates(self, spark: SparkSession) -> DataFrame:
         return error_rate_windows(self.counts(spark))
 
+    def lookback(self, spark: SparkSession, table: str, minutes: int = LOOKBACK_MINUTES,
+                 as_of: datetime | Column | None = None, service: str | None = None) -> DataFrame:
+        """Recent rows of metrics_throughput or metrics_error_rate as folded last; reads their days only."""
+        stored = self.snapshot(spark).folded(table, METRICS[table])
+        at = F.current_timestamp() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
+        since = at.cast("timestamp") - F.make_dt_interval(mins=F.lit(minutes))
+        recent = stored.filter(F.col(tables.DAY) >= tables.day_of(since))
+        return metrics.lookback(recent, minutes, at, service).drop(tables.DAY)
+
     def processed_logs(self, spark: SparkSession) -> DataFrame:
-        return tables.read_table(spark, self.path("processed_logs"), schemas.PROCESSED_LOGS)
+        return self.snapshot(spark).table("processed_logs", schemas.STORED_LOGS)
 
     def dlq_log(self, spark: SparkSession) -> DataFrame:
-        return tables.read_table(spark, self.path("dlq_log"), schemas.DLQ_LOG)
+        return self.snapshot(spark).table("dlq_log", schemas.STORED_LETTERS)
 
-    def close_days(self, spark: SparkSession, first: date, last: date) -> None:
-        """Write (or restate) the final metric tables of some days.
+    def fold(self, spark: SparkSession) -> list[str]:
+        """Merge what batches have left since the last fold; the days whose metrics were written anew.
 
-        Reads only the deltas of these days; run it again when late messages have arrived.
+        Only days with new rows are read and written. Logs and dead letters of a day go into
+        larger files beside those it has; its totals and metrics replace what it had.
         """
-        deltas = tables.read_table(spark, self.path("window_deltas"), schemas.WINDOW_DELTAS)
-        counts = sum_deltas(deltas.filter(F.col(tables.DAY).between(F.lit(first), F.lit(last))))
-        tables.write_days(throughput_windows(counts), self.path("metrics_throughput"), "window_start")
-        tables.write_days(error_rate_windows(counts), self.path("metrics_error_rate"), "window_start")
+        ledger = self.ledger(spark)
+        seen = ledger.snapshot()
+        if not seen.commits:
+            return []
+        name, days = f"fold-{seen.fold.number + 1}", seen.days("window_deltas")
+        files = {table: {d: list(ps) for d, ps in by_day.items()} for table, by_day in seen.fold.files.items()}
+
+        def store(table: str, rows: DataFrame, time_col: str, replace: bool) -> None:
+            by_day = files.setdefault(table, {})
+            for place in ledger.write(table, tables.sized(rows.drop(tables.DAY), time_col), time_col, name):
+                day = place.rpartition("=")[2]
+                by_day[day] = [place] if replace else by_day.get(day, []) + [place]
+
+        for table, schema, time_col in (("processed_logs", schemas.STORED_LOGS, "log_ts"),
+                                        ("dlq_log", schemas.STORED_LETTERS, "failed_at")):
+            if seen.days(table):
+                store(table, seen.since_fold(table, schema), time_col, replace=False)
+        if days:
+            before = seen.folded("window_totals", schemas.WINDOW_DELTAS, days)
+            totals = sum_deltas(before.unionByName(seen.since_fold("window_deltas", schemas.WINDOW_DELTAS)))
+            totals = totals.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                store("window_totals", totals, "window_start", replace=True)
+                store("metrics_throughput", throughput_windows(totals), "window_start", replace=True)
+                store("metrics_error_rate", error_rate_windows(totals), "window_start", replace=True)
+            finally:
+                totals.unpersist()
+        ledger.fold(seen, files)
+        return sorted(days)
+
+
+#: The stored metric tables and their rows.
+METRICS = {"metrics_throughput": schemas.METRICS_THROUGHPUT, "metrics_error_rate": schemas.METRICS_ERROR_RATE}
 
 
 def sum_deltas(deltas: DataFrame) -> DataFrame:

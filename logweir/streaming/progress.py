@@ -56,7 +56,7 @@ class LagSampler(StreamingQueryListener):
 
     Nothing is held back or forgotten: a report becomes rows when it arrives. Reports of one query
     that follow a stored one within ``every`` seconds are not polls of their own. A report that is
-    repeated after a restart replaces its rows.
+    repeated after a restart replaces its rows; rows of other queries stay.
     """
 
     def __init__(self, spark: SparkSession, path: str, topic: str = LOG_TOPIC,
@@ -74,7 +74,7 @@ class LagSampler(StreamingQueryListener):
         keys = ["topic", "partition_id", "recorded_at"]
         lags = consumer_lag(offsets.select(*keys, "committed"), offsets.select(*keys, "high"), keys)
         rows = tables.lag_snapshot(lags, F.col("recorded_at"), self.consumer_id)
-        tables.write_batch(rows, self.path, "recorded_at", batch_id)
+        tables.write_batch(rows, self.path, "recorded_at", query_id, batch_id)
         self.stored_at[query_id] = at
 
     def onQueryStarted(self, event) -> None:

@@ -2,20 +2,27 @@
 
 import json
 import random
-from datetime import date, datetime, timedelta
+import threading
+import time
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from logweir import schemas
 from logweir.operators import backpressure as bp
+from logweir.operators import offsets
 from logweir.operators.lag import consumer_lag
 from logweir.operators.metrics import window_counts
 from logweir.operators.validation import valid_only, validate_logs
+from logweir.plans.inputs import stored_records
 from logweir.sinks import tables
+from logweir.sinks.commits import Ledger
 from logweir.sources.streams import file_stream
 from logweir.streaming.backpressure import BackpressureTracker
 from logweir.streaming.feed import LiveFeed
+from logweir.streaming.lifecycle import Lifecycle
 from logweir.streaming.pipeline import Pipeline
 from logweir.streaming.progress import LagSampler, observe_delivery, offsets_from_progress
 from logweir.streaming.windows import latest_version, streaming_counts
@@ -88,8 +95,12 @@ def test_restart_and_replay_store_nothing_twice(spark, run):
     write_records(spark, source, 600, 100)
     go()
     assert pipeline.processed_logs(spark).count() == 560
-    batch = file_free_batch(spark, source, 600)
-    pipeline.process(batch, 3)  # the last batch once more
+    run = pipeline.snapshot(spark).commits[0].run
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
+    try:
+        pipeline.process(file_free_batch(spark, source, 600), 3)  # the last batch once more
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert pipeline.processed_logs(spark).count() == 560
     assert pipeline.processed_logs(spark).select("id").distinct().count() == 560
     assert sorted_rows(pipeline.counts(spark), *WINDOW) != before
@@ -99,17 +110,158 @@ def file_free_batch(spark, source, first_offset):
     return spark.read.parquet(source).filter(F.col("offset") >= first_offset)
 
 
-def test_closed_days_match_the_deltas(spark, run):
-    _, pipeline, go = run
+def test_folding_touches_only_days_with_new_rows(spark, run):
+    source, pipeline, go = run
     go()
-    pipeline.close_days(spark, date(2024, 1, 1), date(2024, 1, 2))
-    stored = tables.read_table(spark, pipeline.path("metrics_throughput"), schemas.METRICS_THROUGHPUT)
-    names = schemas.METRICS_THROUGHPUT.names
-    assert sorted_rows(stored, *names) == sorted_rows(pipeline.throughput(spark), *names)
-    recent = tables.since(stored, "window_start", datetime(2024, 1, 2))
-    assert 0 < recent.count() < stored.count()
+    names, before = schemas.METRICS_THROUGHPUT.names, sorted_rows(pipeline.throughput(spark), *schemas.METRICS_THROUGHPUT.names)
+    assert pipeline.fold(spark) == ["2024-01-01", "2024-01-02"]
+    seen = pipeline.snapshot(spark)
+    assert not seen.commits and sorted_rows(seen.folded("metrics_throughput", schemas.METRICS_THROUGHPUT), *names) == before
+    assert sorted_rows(pipeline.throughput(spark), *names) == before and pipeline.fold(spark) == []
+    at = T0 + timedelta(days=3)
+    late = json.dumps({"timestamp": (T0 + timedelta(seconds=150)).isoformat() + "Z", "service": "a", "severity": "ERROR", "message": "m", "trace_id": "0" * 32})
+    other = late.replace("2024-01-02", "2024-01-04")
+    pipeline.process(spark.createDataFrame([(None, t.encode(), "logs", 0, 10_000 + i, at) for i, t in enumerate((late, other))],
+                                           schemas.KAFKA_RECORD), 0)
+    want = sorted_rows(pipeline.error_rates(spark), *schemas.METRICS_ERROR_RATE.names)
+    assert pipeline.fold(spark) == ["2024-01-02", "2024-01-04"]
+    again = pipeline.snapshot(spark)
+    for table in ("window_totals", "metrics_throughput", "metrics_error_rate"):
+        old, new = seen.fold.files[table], again.fold.files[table]
+        assert {d for d in new if new[d] != old.get(d)} == {"2024-01-02", "2024-01-04"}
+    assert sorted_rows(again.folded("metrics_error_rate", schemas.METRICS_ERROR_RATE), *schemas.METRICS_ERROR_RATE.names) == want
+    assert pipeline.processed_logs(spark).count() == 482
+    recent = pipeline.lookback(spark, "metrics_error_rate", 600, datetime(2024, 1, 4, 6))
+    assert {r["window_start"].day for r in recent.collect()} == {4}
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(window_start)" in plan
+    run_id = seen.fold.upto.popitem()[0]
+    assert pipeline.ledger(spark).is_committed(run_id, 2) and not pipeline.ledger(spark).is_committed(run_id, 3)
+
+
+def test_a_batch_that_fails_between_two_tables_changes_none(spark, run, monkeypatch):
+    _, pipeline, go = run
+    go()
+    state = lambda: (pipeline.processed_logs(spark).count(), pipeline.dlq_log(spark).count(),
+                     sorted_rows(pipeline.counts(spark), *WINDOW))
+    before, rng = state(), random.Random(1)
+    batch = spark.createDataFrame([record(i, rng) for i in range(1000, 1100)], schemas.KAFKA_RECORD)
+    write = Ledger.write
+
+    def failing(self, table, *args):
+        if table == "window_deltas":
+            raise OSError("the disk is full")
+        return write(self, table, *args)
+
+    monkeypatch.setattr(Ledger, "write", failing)
+    with pytest.raises(OSError):
+        pipeline.process(batch, 7)
+    assert len(list((Path(pipeline.root) / "processed_logs").glob("write=by-hand-7-*"))) == 1  # written, and not read
+    assert state() == before
+    monkeypatch.setattr(Ledger, "write", write)
+    pipeline.process(batch, 7)
+    after = state()
+    assert [a - b for a, b in zip(after[:2], before[:2])] == [80, 20]
+    pipeline.process(batch, 7)
+    assert state() == after
+
+
+def test_runs_do_not_replace_each_other(spark, tmp_path):
+    pipeline, rng = Pipeline(str(tmp_path / "out")), random.Random(2)
+    for n, query in enumerate(("one", "two")):
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", query)
+        try:
+            pipeline.process(spark.createDataFrame([record(i, rng) for i in range(100 * n, 100 * n + 100)], schemas.KAFKA_RECORD), 0)
+        finally:
+            spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert pipeline.processed_logs(spark).count() == 160
+    with pytest.raises(FileExistsError):
+        pipeline.ledger(spark).commit("one", 0, {})
+
+
+def test_windows_from_flush_to_flush(spark, tmp_path):
+    clock = iter([datetime(2024, 1, 1, 0, 0, s, tzinfo=timezone.utc) for s in (10, 30, 45, 50)])
+
+    def store(batch, rows):  # a new object each time, as after a restart
+        pipeline = Pipeline(str(tmp_path / "out"), flush_windows=True, clock=lambda: next(clock))
+        pipeline.process(spark.createDataFrame(rows, schemas.KAFKA_RECORD), batch)
+        return pipeline
+
+    good = [record(i, random.Random(i)) for i in (1, 2, 4, 5)]
+    store(0, good)
+    store(1, good[:2])
+    store(1, good[:2])  # repeated: no flush of its own
+    store(2, [])
+    pipeline = store(3, good[:1])
+    got = {(r["window_start"].second, r["window_end"].second): r["n"] for r in
+           pipeline.counts(spark).groupBy("window_start", "window_end").agg(F.sum("total_messages").alias("n")).collect()}
+    assert got == {(10, 10): 4, (10, 30): 2, (45, 50): 1}
+    pipeline.fold(spark)
+    assert pipeline.snapshot(spark).note("by-hand")["window_end"].startswith("2024-01-01T00:00:50")
+
+
+def test_services_added_between_batches_are_known(spark, tmp_path):
+    known = str(tmp_path / "services")
+    spark.createDataFrame([("a",), ("a",)], "service string").write.parquet(known)
+    pipeline = Pipeline(str(tmp_path / "out"), services=lambda s: s.read.schema("service string").parquet(known))
+    rows = [record(i, random.Random(i)) for i in range(0, 200, 2) if i % 10 not in (3, 7)]
+    n = {s: sum(json.loads(r[1])["service"] == s for r in rows) for s in "ab"}
+    pipeline.process(spark.createDataFrame(rows, schemas.KAFKA_RECORD), 0)
+    assert pipeline.processed_logs(spark).count() == n["a"]
+    assert [tuple(r) for r in pipeline.dlq_log(spark).groupBy("failure_reason").count().collect()] == [
+        ("JSON schema validation failed: service is not a known service", n["b"])]
+    spark.createDataFrame([("b",)], "service string").write.mode("append").parquet(known)
+    pipeline.process(spark.createDataFrame(rows, schemas.KAFKA_RECORD), 1)
+    assert pipeline.processed_logs(spark).count() == 2 * n["a"] + n["b"]
+
+
+def test_a_stopped_pipeline_has_all_windows_in_its_metric_tables(spark, tmp_path):
+    source, pipeline = str(tmp_path / "in"), Pipeline(str(tmp_path / "out"))
+    write_records(spark, source, 0, 100)
+    stopper = Lifecycle(pipeline, file_stream(spark, source), str(tmp_path / "c"), "1 second", poll_seconds=0.2)
+
+    def later():
+        while not pipeline.snapshot(spark).commits:
+            time.sleep(0.2)
+        write_records(spark, source, 100, 100)
+        stopper.request_stop()
+
+    thread = threading.Thread(target=later)
+    thread.start()
+    assert stopper.run() == ["2024-01-01", "2024-01-02"]
+    thread.join()
+    seen = pipeline.snapshot(spark)
+    assert not seen.commits
+    total = seen.folded("metrics_throughput", schemas.METRICS_THROUGHPUT).agg(F.sum("message_count")).first()[0]
+    assert total == pipeline.processed_logs(spark).count() == 160
+
+
+def test_losses_and_doubles_over_batches(spark, tmp_path):
+    rng, lost, twice = random.Random(3), {5, 6, 7, 9, 400}, {11, 12, 300}
+    made = [record(i, rng)[:3] + (i % 2, 32_700 + i // 2, T0) for i in range(600)]
+    pipeline = Pipeline(str(tmp_path))
+    for batch in range(2):
+        rows = [r for i, r in enumerate(made) if i not in lost and (i // 300 == batch or batch and i in twice)]
+        pipeline.process(spark.createDataFrame(rows, schemas.KAFKA_RECORD), batch)
+    produced = spark.createDataFrame(made, schemas.KAFKA_RECORD)
+    stored = stored_records(pipeline, spark).withColumn("topic", F.lit("logs"))
+    got = offsets.reconcile_offsets(produced.withColumn("topic", F.lit("logs")), stored)
+    assert sorted((r["kind"], r["partition"], r["first_offset"], r["last_offset"], r["messages"]) for r in got.collect()) == sorted([
+        ("lost", 1, 32_702, 32_704, 3), ("lost", 0, 32_703, 32_703, 1), ("lost", 0, 32_900, 32_900, 1),
+        ("double", 1, 32_705, 32_705, 1), ("double", 0, 32_706, 32_706, 1)])
+    parts = [offsets.offset_sets(produced.filter(F.col("offset") % 3 == k)) for k in range(3)]
+    whole = offsets.merged(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    assert tuple(offsets.set_counts(whole).first()) == (600, 600)
+    assert offsets.lost_offsets(whole, offsets.offset_sets(produced)).count() == 0
+
+
+def test_runs_go_on_across_stretches(spark):
+    df = spark.range(100_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset")).filter(
+        "offset between 10 and 99990 and offset <> 70000")
+    runs = offsets.offset_runs(df, ["topic", "partition"]).orderBy("first_offset").collect()
+    assert [tuple(r)[2:] for r in runs] == [(10, 69_999, 69_990), (70_001, 99_990, 29_990)]
+    gone = offsets.lost_offsets(offsets.offset_sets(df), offsets.offset_sets(df.filter("offset < 40000")))
+    assert gone.count() == 99_980 - 39_990
 
 
 def test_empty_batch_writes_nothing(spark, tmp_path):
@@ -205,8 +357,9 @@ def test_lag_samples_reach_their_table(spark, tmp_path):
         sampler.store("q", batch, report(second, ends))
     again = LagSampler(spark, path)  # after a restart the last batch reports once more
     again.store("q", 2, report(30, 40))
+    LagSampler(spark, path).store("another", 2, report(30, 99))
     stored = tables.read_table(spark, path, schemas.METRICS_CONSUMER_LAG)
-    assert sorted(r["lag"] for r in stored.collect()) == [60, 90]
+    assert sorted(r["lag"] for r in stored.collect()) == [1, 60, 90]
 
 
 def test_no_dead_letter_is_lost(spark, tmp_path):
@@ -225,7 +378,7 @@ def test_days_do_not_depend_on_the_session_zone(spark, tmp_path):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         df = spark.sql("SELECT timestamp_micros(1704164400000000) AS log_ts, 1 AS n")  # 2024-01-02T03:00Z
-        tables.write_batch(df, path, "log_ts", 0)
+        tables.write_batch(df, path, "log_ts", "r", 0)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     stored = tables.read_table(spark, path, spark.createDataFrame([], ddl).schema)
