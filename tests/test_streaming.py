@@ -7,7 +7,10 @@ import time
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from logweir import schemas
@@ -20,6 +23,7 @@ from logweir.plans.inputs import stored_records
 from logweir.sinks import tables
 from logweir.sinks.commits import Ledger
 from logweir.sources.streams import file_stream
+from logweir.streaming import keyed_backpressure
 from logweir.streaming.backpressure import BackpressureTracker
 from logweir.streaming.feed import LiveFeed
 from logweir.streaming.lifecycle import Lifecycle
@@ -397,3 +401,48 @@ def test_pivot_and_change_take_what_comes(spark):
         series_by_service(df, "message_count", ["db-proxy"]).collect()
     changes = {r["change_pct"] for r in throughput_change(df).collect()}
     assert changes == {None, Decimal("199999999900.0")}
+
+
+def test_keyed_backpressure_equals_the_scan_over_batches_and_restarts(spark, tmp_path):
+    keyed_backpressure.use_rocksdb(spark)
+    rng, ddl = random.Random(6), "event_id long, partition_id int, ts timestamp, depth long"
+    rows = [(i, rng.randrange(3), T0 + timedelta(seconds=i // 5), rng.choice([0, 150, 500, 1100])) for i in range(600)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def go(until, silent=3600):
+        """Run until the turns are there: a query with timers has no last batch of its own."""
+        stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
+        query = (keyed_backpressure.KeyedBackpressure(silent_seconds=silent).turns(stream).writeStream.outputMode("append")
+                 .option("checkpointLocation", str(tmp_path / "c")).format("parquet").option("path", out).trigger(processingTime="1 second").start())
+        end = time.time() + 60
+        while query.isActive and time.time() < end and not (
+                query.lastProgress and (Path(out) / "_spark_metadata").exists() and until(spark.read.schema(keyed_backpressure.TURNS).parquet(out))):
+            time.sleep(0.5)
+        query.stop()
+
+    def turns_of(rows):
+        return sorted_rows(bp.pause_resume_events(spark.createDataFrame(rows, ddl)), "event_id", "action")
+
+    for k in (0, 200):
+        spark.createDataFrame(rows[k:k + 200], ddl).repartition(3).coalesce(1).write.mode("append").parquet(source)
+    n = len(turns_of(rows[:400]))
+    go(lambda found: found.count() >= n)
+    spark.createDataFrame(rows[400:], ddl).coalesce(1).write.mode("append").parquet(source)
+    want = turns_of(rows)
+    go(lambda found: found.count() >= len(want))
+    assert sorted_rows(spark.read.parquet(out), "event_id", "action") == want
+    spark.createDataFrame([(1000 + p, p, T0 + timedelta(hours=1), 500) for p in range(3)], ddl).coalesce(1).write.mode("append").parquet(source)
+    go(lambda found: found.filter("action = 'SILENT'").count() >= 3, silent=1)
+    silent = spark.read.parquet(out).filter("action = 'SILENT'").collect()
+    assert {r["partition_id"] for r in silent} == {0, 1, 2} and all(r["ts"] == T0 + timedelta(hours=1) for r in silent)
+
+
+@given(st.lists(st.sampled_from([-1, 0, 1]), max_size=30), st.booleans())
+def test_turns_of_marks(marks, paused):
+    at, after = keyed_backpressure.turns_of(np.array(marks, np.int64), paused)
+    want = []
+    for i, m in enumerate(marks):
+        if m == 1 and not paused or m == 0 and paused:
+            want.append(i)
+            paused = m == 1
+    assert at.tolist() == want and after == paused
