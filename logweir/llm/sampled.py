@@ -55,18 +55,47 @@ class Kind:
         return self.length - self.key + 1
 
 
-def _leftmost_smallest(x: np.ndarray, w: int) -> np.ndarray:
-    """For each w neighbours the place of the smallest, the first of equal ones."""
-    value, place, size = x, np.arange(len(x)), 1
+#: Bits of a place; the bits of a hash above them decide which is the smallest.
+_PLACE_BITS = 24
+
 
-    def joined(step: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        first = value[:n] <= value[step:step + n]
-        return np.where(first, value[:n], value[step:step + n]), np.where(first, place[:n], place[step:step + n])
+def _leftmost_smallest(x: np.ndarray, w: int) -> np.ndarray:
+    """For each w neighbours the place of the one smallest in its upper bits, the first of equal ones.
 
+    Hash and place share one number, so that the smaller of two is found in one step.
+    """
+    most, n = (1 << _PLACE_BITS) - w, len(x) - w + 1
+    if n > most:
+        return np.concatenate([_leftmost_smallest(x[a:a + most + w - 1], w) + a for a in range(0, n, most)])
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    value, size = x & ~low | np.arange(len(x), dtype=np.uint64), 1
     while 2 * size <= w:
-        value, place = joined(size, len(value) - size)
+        value = np.minimum(value[:-size], value[size:])
         size *= 2
-    return joined(w - size, len(x) - w + 1)[1]
+    value = np.minimum(value[:n], value[w - size:w - size + n])
+    return (value & low).astype(np.int64)
+
+
+_FACTOR = 0x9E3779B97F4A7C15
+
+
+def _rolling(symbols: np.ndarray, width: int) -> np.ndarray:
+    """Polynomial hashes of all runs of ``width`` symbols: those of longer runs from those of shorter ones."""
+    power, done, out = symbols, 1, None  # hashes of runs of ``done`` symbols; of the runs put together so far
+    taken = 0
+    while True:
+        if width & done:
+            if out is None:
+                out = power
+            else:  # ``taken`` symbols, then ``done`` more
+                n = len(symbols) - taken - done + 1
+                out = out[:n] * np.uint64(pow(_FACTOR, done, 1 << 64)) + power[taken:taken + n]
+            taken += done
+        if taken == width:
+            return out
+        n = len(power) - done
+        power = power[:n] * np.uint64(pow(_FACTOR, done, 1 << 64)) + power[done:]
+        done *= 2
 
 
 def samples(kind: Kind, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -79,11 +108,7 @@ def samples(kind: Kind, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.nd
     n = len(symbols)
     if n < kind.length:
         return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64))
-    h = np.zeros(n - kind.key + 1, np.uint64)
-    for j in range(kind.key):
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h += symbols[j:j + len(h)]
-    h = mix64(h)
+    h = mix64(_rolling(symbols, kind.key))
     place = _leftmost_smallest(h, kind.width)
     room = np.repeat(np.cumsum(lengths), lengths)[:len(place)] - np.arange(len(place))
     starts = np.flatnonzero(room >= kind.length)

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +65,23 @@ def test_edges(spark, monkeypatch, crowd):
     got = [(r.id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in suffix.without_repeats(df, length=20, trigger=6).collect()]
     assert sorted(got, key=repr) == slow_bytes(rows, 20)
     assert substring.without_repeats(df.limit(0)).count() == suffix.without_repeats(df.limit(0)).count() == 0
+
+
+def test_rolling_hashes_are_the_polynomials():
+    symbols = np.random.default_rng(4).integers(0, 2**64, 60, np.uint64, endpoint=False)
+    for width in range(1, 41):
+        want = []
+        for i in range(len(symbols) - width + 1):
+            h = 0
+            for x in symbols[i:i + width].tolist():
+                h = (h * sampled._FACTOR + x) % 2**64
+            want.append(h)
+        assert sampled._rolling(symbols, width).tolist() == want
+
+
+def test_leftmost_smallest_of_neighbours(monkeypatch):
+    x = np.random.default_rng(1).integers(0, 5, 300, np.uint64) << np.uint64(40)
+    for bits in (24, 6):
+        monkeypatch.setattr(sampled, "_PLACE_BITS", bits)
+        for w in (1, 2, 3, 35, 50):
+            assert sampled._leftmost_smallest(x, w).tolist() == [i + int(np.argmin(x[i:i + w])) for i in range(len(x) - w + 1)]
