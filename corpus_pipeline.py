@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from logweir.llm import decontaminate, langid, packing, pii, simhash
 from logweir.llm.catalog import table, tokenizer
-from logweir.llm.common import small_batches
-from logweir.session import shared_folder
+from logweir.llm.common import Tables, small_batches
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +48,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``. Each but the last is written to the shared folder and reread,
-    so a lost executor costs no more than the stage at work."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    so a lost executor costs no more than the stage at work; what a stage has used up is removed."""
+    docs, tables, used = table(spark, sf_dir, "documents"), Tables(spark, "pipeline"), None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        docs = tables.write(name, stage(spark, docs, sf_dir))
+        if used:
+            tables.remove(used)
+        used = name
     return STAGES[-1][1](spark, docs, sf_dir)
