@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.operators.quality import log_gaps
@@ -17,16 +17,17 @@ from logweir.operators.quality import log_gaps
 
 @dataclass(frozen=True)
 class Expectation:
-    """``metric`` must be ``test`` (<, <=, =, >=, >) ``bound``."""
+    """``metric`` must be ``test`` (<, <=, =, >=, >) ``bound``; = allows for ``tolerance`` either way."""
 
     scenario: str
     metric: str
     test: str
     bound: int
+    tolerance: int = 0
 
     @property
     def text(self) -> str:
-        return f"{self.test} {self.bound}"
+        return f"{self.test} {self.bound}" + (f" +- {self.tolerance}" if self.tolerance else "")
 
 
 # The expected-results tables of the five scenarios.
@@ -52,12 +53,12 @@ EXPECTATIONS = (
 )
 
 
-def _holds(test: str, bound: int):
-    actual = F.col("actual")
+def holds(e: Expectation, actual: Column) -> Column:
+    """Whether ``actual`` meets the expectation."""
     return {
-        "<": actual < bound, "<=": actual <= bound, "=": actual == bound,
-        ">=": actual >= bound, ">": actual > bound,
-    }[test]
+        "<": actual < e.bound, "<=": actual <= e.bound, ">=": actual >= e.bound, ">": actual > e.bound,
+        "=": actual.between(e.bound - e.tolerance, e.bound + e.tolerance),
+    }[e.test]
 
 
 def measurements(
@@ -111,7 +112,7 @@ def scenario_report(
     attached = F.coalesce(*[
         F.when(F.col("metric") == metric, F.array(*[
             F.struct(F.lit(e.scenario).alias("scenario"), F.lit(e.text).alias("expected"),
-                     _holds(e.test, e.bound).alias("passed"))
+                     holds(e, F.col("actual")).alias("passed"))
             for e in wanted]))
         for metric, wanted in by_metric.items()
     ])

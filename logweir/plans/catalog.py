@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logweir import schemas
 from logweir.operators import (
-    backpressure, dead_letters, feed, lag, metrics, offsets, quality, scenarios, search, trends, validation)
+    backpressure, dead_letters, feed, lag, metrics, offsets, quality, runs, scenarios, search, trends, validation)
 from logweir.plans import inputs
 from logweir.plans.inputs import HOUR
 from logweir.settings import DLQ_RETENTION_HOURS, RECENT_DLQ
@@ -472,3 +472,20 @@ def scenario_report(spark, d):
         turns=backpressure.pause_resume_events(inputs.buffer_samples(spark, d)),
         gap_seconds=GAP_SECONDS)
     return scenarios.scenario_report(measured)
+
+
+def _measured_runs(spark: SparkSession, d: str) -> DataFrame:
+    return runs.measure_runs(
+        inputs.run_events(spark, d), inputs.run_outcomes(spark, d), inputs.run_readings(spark, d),
+        inputs.run_samples(spark, d), inputs.RUN_GAP, log_gap=GAP_SECONDS, window=HOUR, within=HOUR)
+
+
+@query
+def scenario_runs(spark, d):
+    """Each run against the expectations of its own scenario."""
+    return runs.run_report(_measured_runs(spark, d))
+
+
+@query
+def scenario_run_verdicts(spark, d):
+    return runs.run_verdicts(runs.run_report(_measured_runs(spark, d)))

@@ -26,6 +26,9 @@ HOUR = 3600
 # Corruption class by event_id % 20.
 NO_TIMESTAMP, BAD_SEVERITY, BAD_TRACE, NO_SERVICE, OBJECT_MESSAGE, BROKEN_JSON, TIMED_OUT = (
     3, 5, 7, 9, 11, 13, 17)
+# Scenario of a run by its day, and what a run of the last one loses.
+RUN_SCENARIOS, RUN_GAP, LOST_OF_RUN = (
+    "normal_load", "malformed_logs", "traffic_spike", "slow_consumer", "worker_failure"), 6 * HOUR, 11
 # What a faulty run loses (single messages and stretches of them) and stores twice.
 LOST_OF, LOST_AT, LOST_STRETCH, TWICE_OF = 97, 5, 40, 33
 
@@ -72,8 +75,12 @@ def _pair(name: str, text: Column) -> Column:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, partition_id, ts, key, value: messages as a producer would have sent them."""
-    e = spread(events(spark, sf_dir).drop("props"), "event_id")
-    kind = F.col("event_id") % 20
+    return as_messages(events(spark, sf_dir), F.col("event_id") % 20)
+
+
+def as_messages(sent: DataFrame, kind: Column, *keep: str) -> DataFrame:
+    """Events as messages with the corruption that ``kind`` says, and the columns to ``keep``."""
+    e = spread(sent.drop("props"), "event_id")
     message = F.concat(
         "event_type", F.lit(" user_id="), F.col("user_id").cast("string"), F.lit(" value="),
         F.col("value").cast("decimal(10,2)").cast("string"))
@@ -96,7 +103,7 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("{"), pairs, F.lit("}")))
     key = F.when(kind == NO_SERVICE, UNKNOWN_SERVICE_KEY).otherwise(service_of(F.col("user_id")))
     return e.select("event_id", partition_of(F.col("user_id")).alias("partition_id"), "ts",
-                    key.alias("key"), value.alias("value"))
+                    key.alias("key"), value.alias("value"), *keep)
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +201,40 @@ def produced_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_id") / 4).alias("offset"), F.col("ts").alias("timestamp"))
 
 
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their scenario: one run a day, for which the day is squeezed into its first six hours."""
+    day = F.unix_micros(F.date_trunc("day", "ts"))
+    millis = F.call_function("div", F.unix_micros("ts") - day, F.lit(4000).cast("bigint"))
+    turn = F.call_function("div", day, F.lit(86_400_000_000).cast("bigint")) % len(RUN_SCENARIOS)
+    return events(spark, sf_dir).withColumns({
+        "scenario": F.element_at(F.array(*map(F.lit, RUN_SCENARIOS)), turn.cast("int") + 1),
+        "ts": F.timestamp_micros(day + millis * 1000)})
+
+
+def run_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the messages of each run: only malformed logs break rules, a failing worker loses some."""
+    sent, number = run_events(spark, sf_dir), F.col("event_id")
+    kept = sent.filter((F.col("scenario") != RUN_SCENARIOS[-1]) | (number % LOST_OF_RUN != 0))
+    kind = F.when(F.col("scenario") == RUN_SCENARIOS[1], number % 20).otherwise(0)
+    checked = validate_logs(as_messages(kept, kind, "scenario"))
+    return checked.select("scenario", "ts", "log_ts", "service", "severity", "failure_reason", F.lit(0).alias("retry_count"))
+
+
+def run_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag readings of the runs: the messages that a partition got in ten minutes, read at the last of them."""
+    tens = F.call_function("div", F.unix_micros("ts"), F.lit(600_000_000).cast("bigint"))
+    counted = run_events(spark, sf_dir).groupBy(
+        "scenario", partition_of(F.col("user_id")).alias("partition_id"), tens.alias("tens")).agg(
+        F.count(F.lit(1)).alias("lag"), F.max("ts").alias("recorded_at"))
+    return counted.drop("tens").withColumns({"id": F.unix_seconds("recorded_at") * 10 + F.col("partition_id"), "consumer_id": F.lit("C1")})
+
+
+def run_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_events(spark, sf_dir).select(
+        "event_id", "scenario", partition_of(F.col("user_id")).alias("partition_id"), "ts",
+        F.floor(F.col("value") * 10).cast("bigint").alias("depth"))
+
+
 def stored_run(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Pipeline:
     """A pipeline that has stored all messages in its tables in the shared folder, in three batches.
 

@@ -494,6 +494,97 @@ expectations(scenario, metric, test, bound) AS (VALUES
   ('worker_failure', 'log_gaps', '=', 0), ('worker_failure', 'max_latest_lag', '<', 100))"""),
 }
 
+# Runs of scenarios: the messages' own SQL over squeezed days, of which only every fifth is corrupted.
+RUNS = """
+run_events AS (
+  SELECT event_id, user_id, event_type, value,
+         ['normal_load', 'malformed_logs', 'traffic_spike', 'slow_consumer', 'worker_failure']
+           [1 + CAST(epoch_us(date_trunc('day', ts)) // 86400000000 % 5 AS INT)] AS scenario,
+         make_timestamp(epoch_us(date_trunc('day', ts)) + (epoch_us(ts) - epoch_us(date_trunc('day', ts))) // 4000 * 1000) AS ts
+  FROM events),""" + CHECKED.replace("event_id % 20 AS kind", "CASE WHEN scenario = 'malformed_logs' THEN event_id % 20 ELSE 0 END AS kind").replace(
+    "FROM events)", "FROM run_events WHERE scenario <> 'worker_failure' OR event_id % 11 <> 0)") + """,
+stepped AS (
+  SELECT *, CASE WHEN coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY scenario ORDER BY ts, event_id)) > 21600000000, true)
+                 THEN 1 ELSE 0 END AS step
+  FROM run_events),
+numbered AS (SELECT *, sum(step) OVER (PARTITION BY scenario ORDER BY ts, event_id) AS run FROM stepped),
+spans AS (
+  SELECT scenario, run, min(ts) AS run_start, max(ts) AS run_end, count(*) AS produced
+  FROM numbered GROUP BY 1, 2),
+outcomes AS (SELECT n.scenario, n.run, j.* FROM judged j JOIN numbered n USING (event_id)),
+run_gaps AS (
+  SELECT scenario, run, count(*) FILTER (WHERE us > 1800000000) AS log_gaps
+  FROM (SELECT scenario, run, epoch_us(log_ts) - epoch_us(lag(log_ts) OVER (PARTITION BY scenario, run ORDER BY log_ts)) AS us
+        FROM outcomes WHERE rule IS NULL) GROUP BY 1, 2),
+told AS (
+  SELECT scenario, run, count(*) AS accounted, count(rule) AS dlq_messages,
+         count(rule) * 10000 // count(*) AS malformed_basis_points,
+         count(*) FILTER (WHERE rule IS NOT NULL AND coalesce(failure_reason, '') = '') AS empty_failure_reasons,
+         count(*) FILTER (WHERE rule IS NULL AND severity IN ('ERROR', 'CRITICAL')) * 10000
+           // count(*) FILTER (WHERE rule IS NULL) AS error_rate_basis_points,
+         count(DISTINCT (date_trunc('hour', log_ts), service)) FILTER (WHERE rule IS NULL) AS throughput_windows
+  FROM outcomes GROUP BY 1, 2),
+polls AS (
+  SELECT scenario, run, CAST(user_id % 4 AS INT) AS partition_id, max(ts) AS recorded_at, count(*) AS lag
+  FROM numbered GROUP BY 1, 2, 3, time_bucket(INTERVAL 10 MINUTE, ts)),
+heights AS (
+  SELECT scenario, run, partition_id, max(lag) AS peak_lag, arg_max(lag, recorded_at) AS latest,
+         min_by(recorded_at, (-lag, recorded_at)) AS peak_at
+  FROM polls GROUP BY 1, 2, 3),
+recoveries AS (
+  SELECT h.*, (SELECT min(p.recorded_at) FROM polls p WHERE p.scenario = h.scenario AND p.run = h.run
+                 AND p.partition_id = h.partition_id AND p.recorded_at > h.peak_at AND p.lag < 50) AS recovered_at
+  FROM heights h),
+lags AS (
+  SELECT scenario, run, max(latest) AS max_latest_lag, max(peak_lag) AS max_lag,
+         count(*) FILTER (WHERE NOT coalesce(epoch(recovered_at) - epoch(peak_at) <= 3600, false)) AS partitions_not_recovered
+  FROM recoveries GROUP BY 1, 2),
+depths AS (
+  SELECT *, CASE WHEN floor(value * 10) >= 1000 THEN 1 WHEN floor(value * 10) <= 200 THEN 0 END AS mark FROM numbered),
+turned AS (
+  SELECT scenario, run, mark, coalesce(lag(mark) OVER (PARTITION BY scenario, run, user_id % 4 ORDER BY ts, event_id), 0) AS before
+  FROM depths WHERE mark IS NOT NULL),
+turning AS (
+  SELECT scenario, run, count(*) FILTER (WHERE mark > before) AS pause_events, count(*) FILTER (WHERE mark < before) AS resume_events
+  FROM turned GROUP BY 1, 2),
+measured AS (
+  UNPIVOT (
+    SELECT s.scenario, s.run_start, s.run_end, coalesce(dlq_messages, 0) AS dlq_messages, coalesce(malformed_basis_points, 0) AS malformed_basis_points,
+           coalesce(empty_failure_reasons, 0) AS empty_failure_reasons, CAST(0 AS BIGINT) AS retried_schema_failures,
+           coalesce(error_rate_basis_points, 0) AS error_rate_basis_points, coalesce(throughput_windows, 0) AS throughput_windows,
+           coalesce(log_gaps, 0) AS log_gaps, max_latest_lag, max_lag, partitions_not_recovered,
+           coalesce(pause_events, 0) AS pause_events, coalesce(resume_events, 0) AS resume_events,
+           produced - coalesce(accounted, 0) AS unaccounted_messages
+    FROM spans s LEFT JOIN told USING (scenario, run) LEFT JOIN run_gaps USING (scenario, run) LEFT JOIN lags USING (scenario, run)
+    LEFT JOIN turning USING (scenario, run))
+  ON COLUMNS(* EXCLUDE (scenario, run_start, run_end)) INTO NAME metric VALUE actual),
+expectations(scenario, metric, test, bound, tolerance) AS (VALUES
+  ('normal_load', 'dlq_messages', '=', 0, 0), ('normal_load', 'max_latest_lag', '<', 50, 0),
+  ('normal_load', 'error_rate_basis_points', '<', 1500, 0), ('normal_load', 'throughput_windows', '>', 0, 0),
+  ('malformed_logs', 'malformed_basis_points', '=', 3000, 300), ('malformed_logs', 'unaccounted_messages', '=', 0, 0),
+  ('malformed_logs', 'empty_failure_reasons', '=', 0, 0), ('malformed_logs', 'retried_schema_failures', '=', 0, 0),
+  ('traffic_spike', 'pause_events', '>', 0, 0), ('traffic_spike', 'resume_events', '>', 0, 0),
+  ('traffic_spike', 'max_lag', '>=', 500, 0), ('traffic_spike', 'max_lag', '<=', 2000, 0),
+  ('traffic_spike', 'partitions_not_recovered', '=', 0, 0), ('traffic_spike', 'dlq_messages', '=', 0, 0),
+  ('traffic_spike', 'unaccounted_messages', '=', 0, 0),
+  ('slow_consumer', 'max_lag', '<=', 1000, 0), ('slow_consumer', 'pause_events', '>', 0, 0),
+  ('slow_consumer', 'resume_events', '>', 0, 0), ('slow_consumer', 'unaccounted_messages', '=', 0, 0),
+  ('slow_consumer', 'dlq_messages', '=', 0, 0), ('slow_consumer', 'partitions_not_recovered', '=', 0, 0),
+  ('worker_failure', 'log_gaps', '=', 0, 0), ('worker_failure', 'max_latest_lag', '<', 100, 0),
+  ('worker_failure', 'dlq_messages', '=', 0, 0), ('worker_failure', 'unaccounted_messages', '=', 0, 0)),
+verdicts AS (
+  SELECT scenario, run_start, run_end, metric,
+         test || ' ' || bound || CASE WHEN tolerance > 0 THEN ' +- ' || tolerance ELSE '' END AS expected, actual,
+         CASE test WHEN '<' THEN actual < bound WHEN '<=' THEN actual <= bound WHEN '>=' THEN actual >= bound
+                   WHEN '>' THEN actual > bound ELSE abs(actual - bound) <= tolerance END AS passed
+  FROM expectations JOIN measured USING (scenario, metric))"""
+
+ORACLES["scenario_runs"] = "WITH " + RUNS + "\nSELECT * FROM verdicts"
+ORACLES["scenario_run_verdicts"] = "WITH " + RUNS + """
+SELECT scenario, run_start, run_end, count(*) AS expectations, count(*) FILTER (WHERE NOT passed) AS failed,
+       coalesce(string_agg(metric || ' ' || expected, ', ' ORDER BY metric || ' ' || expected) FILTER (WHERE NOT passed), '') AS failures
+FROM verdicts GROUP BY 1, 2, 3"""
+
 # Decimal columns, which the catalog presents as doubles.
 _DECIMALS = {
     "malformed_pct": ("malformed_pct",),
