@@ -49,19 +49,19 @@ def log_gaps(logs: DataFrame, seconds: int = LOG_GAP_SECONDS, time_col: str = "l
 QUANTILES = (50, 95, 99)
 
 
-def _delay_bucket(delay: Column) -> Column:
-    """An order-preserving bucket of a delay: its ten leading bits and how many follow.
+def delay_bucket(delay: Column, bits: int = 10) -> Column:
+    """An order-preserving bucket of a delay: its ``bits`` leading bits and how many follow.
 
-    There are at most 2 * 64 * 1024 buckets, however far delays spread; those below 1024 ms have
-    one each.
+    There are at most 2 * 64 * 2 ** bits buckets, however far delays spread; those of up to
+    ``bits`` bits (below 1024 ms with ten) have one each.
     """
     size = F.abs(delay)
-    behind = F.greatest(F.lit(0), F.length(F.bin(size)) - 10)
-    bucket = behind * 1024 + F.call_function("shiftright", size, behind)
+    behind = F.greatest(F.lit(0), F.length(F.bin(size)) - bits)
+    bucket = behind * (1 << bits) + F.call_function("shiftright", size, behind)
     return F.when(delay < 0, -bucket).otherwise(bucket)
 
 
-def _bucket_of(percent: int) -> Column:
+def bucket_reaching(percent: int) -> Column:
     """From sorted ``buckets`` (bucket, n): the first whose running count reaches the quantile."""
     start = F.struct(F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("bucket"))
     return F.aggregate("buckets", start, lambda at, x: F.when(at["bucket"].isNotNull(), at).when(
@@ -82,14 +82,14 @@ def ingest_delay(
     delay = F.call_function("div", F.unix_micros(arrival_time) - F.unix_micros(event_time),
                             F.lit(1000).cast("bigint"))
     histogram = (logs.groupBy(by, delay.alias("delay_ms")).agg(F.count(F.lit(1)).alias("n"))
-                 .withColumn("bucket", _delay_bucket(F.col("delay_ms")).cast("bigint")))
+                 .withColumn("bucket", delay_bucket(F.col("delay_ms")).cast("bigint")))
     counted = histogram.groupBy(by, "bucket").agg(
         F.sum("n").alias("n"), F.min("delay_ms").alias("low"), F.max("delay_ms").alias("high"))
     whole = counted.groupBy(by).agg(
         F.sum("n").alias("messages"), F.min("low").alias("min_ms"), F.max("high").alias("max_ms"),
         F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("buckets"))
     places = whole.select(by, "messages", F.explode(F.array(*(
-        F.struct(F.lit(p).alias("percent"), _bucket_of(p).alias("at")) for p in QUANTILES))).alias("q")).select(
+        F.struct(F.lit(p).alias("percent"), bucket_reaching(p).alias("at")) for p in QUANTILES))).alias("q")).select(
         by, "messages", "q.percent", "q.at.below", "q.at.bucket")
     upto = W.partitionBy(by, "bucket", "percent").orderBy("delay_ms").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = histogram.join(places, [by, "bucket"]).withColumn("rank", F.col("below") + F.sum("n").over(upto))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logweir import schemas
 from logweir.operators import (
-    backpressure, dead_letters, feed, lag, metrics, offsets, quality, runs, scenarios, search, trends, validation)
+    backpressure, dead_letters, delays, feed, lag, metrics, offsets, quality, runs, scenarios, search, trends, validation)
 from logweir.plans import inputs
 from logweir.plans.inputs import HOUR
 from logweir.settings import DLQ_RETENTION_HOURS, RECENT_DLQ
@@ -381,13 +381,22 @@ def log_gaps(spark, d):
     return quality.log_gaps(inputs.events(spark, d), GAP_SECONDS, "ts")
 
 
+def _arrived(spark: SparkSession, d: str) -> DataFrame:
+    """Arrival time: the event's own clock plus a delay that grows with the trace's first digits."""
+    wait = F.conv(F.left("trace_id", F.lit(3)), 16, 10).cast("bigint") * 1000
+    return inputs.valid_logs(spark, d).withColumn("ingested_at", F.timestamp_micros(F.unix_micros("log_ts") + wait))
+
+
 @query
 def ingest_delay(spark, d):
-    arrived = inputs.valid_logs(spark, d)
-    # Arrival time: the event's own clock plus a delay that grows with the trace's first digits.
-    wait = F.conv(F.left("trace_id", F.lit(3)), 16, 10).cast("bigint") * 1000
-    arrived = arrived.withColumn("ingested_at", F.timestamp_micros(F.unix_micros("log_ts") + wait))
-    return quality.ingest_delay(arrived)
+    return quality.ingest_delay(_arrived(spark, d))
+
+
+@query
+def delay_windows(spark, d):
+    """Delay quantiles by service and hour, from counts in buckets."""
+    return delays.delay_quantiles(
+        delays.delay_rows(_arrived(spark, d), HOUR), by=("window_start", "window_end", "service"))
 
 
 @query
@@ -439,6 +448,14 @@ def stored_lookback(spark, d):
     return pipeline.lookback(spark, "metrics_error_rate", 1440, AS_OF)
 
 
+@query
+def stored_delays(spark, d):
+    """Delay quantiles of a day and all services, from the counts that a run's batches have left."""
+    pipeline = inputs.stored_run(spark, d, delayed=True)
+    pipeline.fold(spark)
+    return pipeline.delay_quantiles(spark, 1440, AS_OF)
+
+
 @query
 def retained_logs(spark, d):
     return retained(inputs.valid_logs(spark, d), "log_ts", 24, AS_OF).drop("ts")

@@ -235,14 +235,18 @@ def run_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") * 10).cast("bigint").alias("depth"))
 
 
-def stored_run(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Pipeline:
+def stored_run(spark: SparkSession, sf_dir: str, faulty: bool = False, delayed: bool = False) -> Pipeline:
     """A pipeline that has stored all messages in its tables in the shared folder, in three batches.
 
     With ``faulty`` the tables lack whole stretches and single messages that were produced, and have
-    messages of the first batch that the second delivers once more.
+    messages of the first batch that the second delivers once more. With ``delayed`` messages arrive
+    up to a second late, one in ten up to a minute.
     """
     pipeline = Pipeline(f"{shared_folder(spark)}/run-{uuid.uuid4()}", window_seconds=HOUR)
     records, number = produced_records(spark, sf_dir), F.col("event_id")
+    if delayed:
+        wait = number * 7919 % 1000 * F.when(number % 10 == 0, 60).otherwise(1)
+        records = records.withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp") + wait * 1000))
     arrived = F.lit(True)
     if faulty:
         arrived = ~((number % LOST_OF == LOST_AT) | ((number / LOST_STRETCH).cast("bigint") % LOST_OF == LOST_AT))

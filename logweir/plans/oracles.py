@@ -494,6 +494,38 @@ expectations(scenario, metric, test, bound) AS (VALUES
   ('worker_failure', 'log_gaps', '=', 0), ('worker_failure', 'max_latest_lag', '<', 100))"""),
 }
 
+
+def _delay_quantiles(delayed: str, by: str) -> str:
+    """Quantiles by sorting all delays ``ms``; estimates are the ends of the bucket around the exact one."""
+    columns = ",\n       ".join(
+        f"q{p}.high_ms AS p{p}_ms, q{p}.low_ms AS p{p}_from_ms, q{p}.upto - (w.messages * {p} + 99) // 100 AS p{p}_rank_error"
+        for p in (50, 95, 99))
+    same = " AND ".join(f"w.{c} = q{{p}}.{c}" for c in by.split(", "))
+    joins = "\n".join(
+        f"JOIN bounds q{p} ON {same.format(p=p)} AND w.p{p} BETWEEN q{p}.low_ms AND q{p}.high_ms" for p in (50, 95, 99))
+    own = ", ".join(f"w.{c}" for c in by.split(", "))
+    return f"""
+delayed AS ({delayed}),
+sized AS (
+  SELECT *, abs(ms) AS size, greatest(0, length(bin(abs(ms))) - 7) AS behind FROM delayed),
+whole AS (
+  SELECT {by}, count(*) AS messages, min(ms) AS min_ms, max(ms) AS max_ms, quantile_disc(ms, 0.5) AS p50,
+         quantile_disc(ms, 0.95) AS p95, quantile_disc(ms, 0.99) AS p99 FROM delayed GROUP BY {by}),
+bounds AS (
+  SELECT {by}, min(ms) AS low_ms, max(ms) AS high_ms,
+         CAST(sum(count(*)) OVER (PARTITION BY {by} ORDER BY min(ms)) AS BIGINT) AS upto
+  FROM sized GROUP BY {by}, sign(ms), behind, size >> behind)
+SELECT {own}, w.messages, min_ms, {columns}, max_ms
+FROM whole w {joins}"""
+
+
+ORACLES["delay_windows"] = "WITH " + CHECKED + "," + _delay_quantiles("""
+  SELECT date_trunc('hour', log_ts) AS window_start, date_trunc('hour', log_ts) + INTERVAL 1 HOUR AS window_end, service,
+         CAST('0x' || left(trace_id, 3) AS BIGINT) AS ms FROM valid""", "window_start, window_end, service")
+ORACLES["stored_delays"] = "WITH " + CHECKED + "," + _delay_quantiles("""
+  SELECT service, event_id * 7919 % 1000 * CASE WHEN event_id % 10 = 0 THEN 60 ELSE 1 END AS ms
+  FROM valid WHERE date_trunc('hour', log_ts) >= TIMESTAMP '2024-01-31' - INTERVAL 1440 MINUTE""", "service")
+
 # Runs of scenarios: the messages' own SQL over squeezed days, of which only every fifth is corrupted.
 RUNS = """
 run_events AS (

@@ -67,3 +67,9 @@ WINDOW_DELTAS = _struct(
     "window_start TIMESTAMP, window_end TIMESTAMP, service STRING, total_messages BIGINT, "
     "error_messages BIGINT"
 )
+
+# Additive counts of delays, by bucket: of a batch, and of a window in its metric table.
+METRICS_INGEST_DELAY = _struct(
+    "window_start TIMESTAMP, window_end TIMESTAMP, service STRING, bucket BIGINT, messages BIGINT, "
+    "low_ms BIGINT, high_ms BIGINT"
+)

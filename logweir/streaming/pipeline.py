@@ -1,7 +1,7 @@
-"""The streaming pipeline: records in, five tables out.
+"""The streaming pipeline: records in, log, dead-letter and metric tables out.
 
-Each micro-batch is validated once and stored in processed_logs, dlq_log and window_deltas under
-one commit. Window metrics are not kept as streaming state: a batch contributes its counts per
+Each micro-batch is validated once and stored in processed_logs, dlq_log, window_deltas and
+delay_deltas under one commit. Window metrics are not kept as streaming state: a batch contributes its counts per
 window as additive rows, and readers sum them. So a window needs no watermark to be complete, a
 late message still counts in the window it belongs to, the last window is there as soon as its
 batch is, and the state does not grow with the number of windows. ``fold`` turns the additive rows
@@ -21,7 +21,7 @@ from pyspark.storagelevel import StorageLevel
 
 from logweir import schemas
 from logweir.functions.text import is_error
-from logweir.operators import metrics
+from logweir.operators import delays, metrics
 from logweir.operators.dead_letters import dead_letter_rows, received_letters
 from logweir.operators.metrics import error_rate_windows, throughput_windows, window_counts
 from logweir.operators.validation import invalid_only, only_known, valid_only, validate_logs
@@ -77,6 +77,10 @@ class Pipeline:
         start, end = (F.lit(t).cast("timestamp") for t in window)
         return counts.select(start.alias("window_start"), end.alias("window_end"), "service", "total_messages", "error_messages")
 
+    def _delays(self, valid: DataFrame, window: tuple[datetime, datetime] | None) -> DataFrame:
+        bounds = tuple(F.lit(t).cast("timestamp") for t in window) if window else None
+        return delays.delay_rows(valid.withColumn("ingested_at", F.col("arrived_at")), self.window_seconds, self.time_col, window=bounds)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Store one micro-batch in all tables, or in none. A batch that is stored already is left as it is."""
         spark, run = batch.sparkSession, run_of(batch)
@@ -114,6 +118,7 @@ class Pipeline:
                 self.publish(rejected)
             files["dlq_log"] = ledger.write("dlq_log", received, "failed_at", name)
             files["window_deltas"] = ledger.write("window_deltas", self._deltas(valid, window), "window_start", name)
+            files["delay_deltas"] = ledger.write("delay_deltas", self._delays(valid, window), "window_start", name)
             ledger.commit(run, batch_id, files, note)
         finally:
             checked.unpersist()
@@ -147,13 +152,18 @@ class Pipeline:
 
     def lookback(self, spark: SparkSession, table: str, minutes: int = LOOKBACK_MINUTES,
                  as_of: datetime | Column | None = None, service: str | None = None) -> DataFrame:
-        """Recent rows of metrics_throughput or metrics_error_rate as folded last; reads their days only."""
+        """Recent rows of a metric table (one of ``METRICS``) as folded last; reads their days only."""
         stored = self.snapshot(spark).folded(table, METRICS[table])
         at = F.current_timestamp() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
         since = at.cast("timestamp") - F.make_dt_interval(mins=F.lit(minutes))
         recent = stored.filter(F.col(tables.DAY) >= tables.day_of(since))
         return metrics.lookback(recent, minutes, at, service).drop(tables.DAY)
 
+    def delay_quantiles(self, spark: SparkSession, minutes: int = LOOKBACK_MINUTES,
+                        as_of: datetime | Column | None = None, service: str | None = None) -> DataFrame:
+        """Ingest delays of the recent windows as folded last, from their counts: no log is read."""
+        return delays.delay_quantiles(self.lookback(spark, "metrics_ingest_delay", minutes, as_of, service))
+
     def processed_logs(self, spark: SparkSession) -> DataFrame:
         return self.snapshot(spark).table("processed_logs", schemas.STORED_LOGS)
 
@@ -193,12 +203,18 @@ class Pipeline:
                 store("metrics_error_rate", error_rate_windows(totals), "window_start", replace=True)
             finally:
                 totals.unpersist()
+        measured = seen.days("delay_deltas")
+        if measured:
+            before = seen.folded("metrics_ingest_delay", schemas.METRICS_INGEST_DELAY, measured)
+            rows = before.unionByName(seen.since_fold("delay_deltas", schemas.METRICS_INGEST_DELAY))
+            store("metrics_ingest_delay", delays.merged(rows), "window_start", replace=True)
         ledger.fold(seen, files)
         return sorted(days)
 
 
 #: The stored metric tables and their rows.
-METRICS = {"metrics_throughput": schemas.METRICS_THROUGHPUT, "metrics_error_rate": schemas.METRICS_ERROR_RATE}
+METRICS = {"metrics_throughput": schemas.METRICS_THROUGHPUT, "metrics_error_rate": schemas.METRICS_ERROR_RATE,
+           "metrics_ingest_delay": schemas.METRICS_INGEST_DELAY}
 
 
 def sum_deltas(deltas: DataFrame) -> DataFrame:
