@@ -20,6 +20,7 @@ from logweir.functions.text import is_error
 from logweir.operators.backpressure import pause_resume_events
 from logweir.operators.lag import lag_recovery, latest_lag
 from logweir.operators.scenarios import EXPECTATIONS, Expectation, holds
+from logweir.session import cut_lineage
 from logweir.settings import (
     BUFFER_HIGH_WATER, BUFFER_LOW_WATER, LAG_BASELINE, LOG_GAP_SECONDS, RECOVERY_SECONDS, WINDOW_SECONDS)
 
@@ -72,33 +73,33 @@ def in_runs(rows: DataFrame, cells: DataFrame, run_gap: int, time_col: str) -> D
     return located.join(cells.select(SCENARIO, "cell", RUN), [SCENARIO, "cell"]).drop("cell")
 
 
-def _message_metrics(outcomes: DataFrame, cells: DataFrame, run_gap: int, log_gap: int, window: int) -> DataFrame:
-    """One row per run from what became of its messages, which are read once.
-
-    They shrink to a row for each scenario, cell, service, window and stretch of ``log_gap`` seconds.
-    A gap lies between the first log of a stretch and the last log of all stretches before it.
-    """
+def _counted(outcomes: DataFrame, run_gap: int, log_gap: int, window: int) -> DataFrame:
+    """Messages as a row for each scenario, cell, service, window and stretch of ``log_gap`` seconds."""
     dead = F.col("failure_reason").isNotNull()
     schema_failure = F.col("failure_reason").startswith("JSON schema validation failed")
-    log_ts = F.when(~dead, F.col("log_ts"))
     one = F.lit(1)
-    counted = (
-        outcomes.withColumn("log_ts", log_ts)
+    return (
+        outcomes.withColumn("log_ts", F.when(~dead, F.col("log_ts")))
         .groupBy(SCENARIO, _cell("ts", run_gap).alias("cell"), _cell("log_ts", log_gap).alias("stretch"),
                  _cell("log_ts", window).alias("window"), F.when(~dead, F.col("service")).alias("service"))
         .agg(F.count(one).alias("n"), F.count_if(dead).alias("dead"),
              F.count_if(dead & (F.col("failure_reason") == "")).alias("empty"),
              F.count_if(schema_failure & (F.col("retry_count") > 0)).alias("retried"),
              F.count_if(~dead & is_error(F.col("severity"))).alias("errors"),
+             F.min("ts").alias("begin"), F.max("ts").alias("end"),
              F.min(F.unix_micros("log_ts")).alias("first"), F.max(F.unix_micros("log_ts")).alias("last"))
-        .join(cells.select(SCENARIO, "cell", RUN), [SCENARIO, "cell"])
     )
+
+
+def _message_metrics(counted: DataFrame, cells: DataFrame, log_gap: int) -> DataFrame:
+    """One row per run. A gap lies between the first log of a stretch and the last log of all before it."""
     earlier = W.partitionBy(SCENARIO, RUN).orderBy("stretch").rangeBetween(W.unboundedPreceding, -1)
     own = W.partitionBy(SCENARIO, RUN, "stretch")
     silence = F.min("first").over(own) - F.max("last").over(earlier)
     gap = silence > F.lit(log_gap * 1_000_000).cast("bigint")
     good = F.sum("n") - F.sum("dead")
-    return counted.withColumn("gap_at", F.when(gap, F.col("stretch"))).groupBy(SCENARIO, RUN).agg(
+    placed = counted.join(cells.select(SCENARIO, "cell", RUN), [SCENARIO, "cell"])
+    return placed.withColumn("gap_at", F.when(gap, F.col("stretch"))).groupBy(SCENARIO, RUN).agg(
         F.sum("n").alias("accounted"), F.sum("dead").alias("dlq_messages"),
         F.call_function("div", F.sum("dead") * 10000, F.sum("n")).alias("malformed_basis_points"),
         F.sum("empty").alias("empty_failure_reasons"), F.sum("retried").alias("retried_schema_failures"),
@@ -120,8 +121,13 @@ def measure_runs(
     are followed within a run: none is paused, or behind, because of the run before. A metric of which a
     run has no rows is 0. Messages that are lost and others stored twice balance each other
     in ``unaccounted_messages``; ``offsets`` tells them apart.
+
+    Two jobs run when the frame is built: they checkpoint the counted messages, which so are read
+    and parsed once, and the cells, which everything else is joined with.
     """
-    cells = run_cells([(produced, "ts"), (outcomes, "ts"), (readings, "recorded_at"), (samples, "ts")], run_gap)
+    counted = cut_lineage(_counted(outcomes, run_gap, log_gap, window))
+    cells = cut_lineage(run_cells([(produced, "ts"), (counted, "begin"), (counted, "end"), (readings, "recorded_at"),
+                                   (samples, "ts")], run_gap))
     sent = produced.groupBy(SCENARIO, _cell("ts", run_gap).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     sent = sent.join(cells, [SCENARIO, "cell"]).groupBy(SCENARIO, RUN).agg(F.sum("n").alias("produced"))
     ends = cells.groupBy(SCENARIO, RUN).agg(F.unix_micros(F.max("run_end")).alias("end_micros"))
@@ -137,7 +143,7 @@ def measure_runs(
         F.count_if(F.col("action") == "PAUSE").alias("pause_events"),
         F.count_if(F.col("action") == "RESUME").alias("resume_events"))
 
-    parts = [ends, sent, _message_metrics(outcomes, cells, run_gap, log_gap, window), latest, recovered, turns]
+    parts = [ends, sent, _message_metrics(counted, cells, log_gap), latest, recovered, turns]
     names = [c for part in parts for c in part.columns if c not in (SCENARIO, RUN)]
     wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measured = wide.groupBy(SCENARIO, RUN).agg(*[
