@@ -100,9 +100,9 @@ def contamination(benchmark: DataFrame, text: Column, item_col: str = "item_id",
     """A struct for each text: ``n_words``, ``positions`` (words inside an occurrence of an item
     window, from 0, ascending) and ``items`` (as strings, sorted).
 
-    The windows of the benchmark are counted first. Each set of at most ``WINDOWS_AT_ONCE`` is
-    broadcast by itself, so what is sent is bounded however large the benchmark is, and the sets'
-    findings are united. A null text has no words; an empty benchmark hits nothing; a null item id
+    The windows of the benchmark are counted first and broadcast in sets of at most
+    ``WINDOWS_AT_ONCE``, whose findings are united. Only a set is bounded: all sets together are the
+    benchmark, and driver and workers hold them at once, so the benchmark must fit there. A null text has no words; an empty benchmark hits nothing; a null item id
     takes no part; items with the same text are all named.
     """
     windows = item_windows(benchmark, item_col, text_col, window)
