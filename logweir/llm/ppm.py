@@ -15,19 +15,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import ascii_words, mix64, stored
+from logweir.llm.common import Tables, ascii_words, mix64, stored
 
 #: Longest context in bytes. A gram is a context and its next symbol, nine bits each.
 ORDER, SYMBOL_BITS = 4, 9
 LENGTH = ORDER + 1
 END, SYMBOLS = 257, 257
-#: A gram is in the trie if it makes up this share of all symbols or more. Each length has at most
-#: as many such grams as the inverse, whatever the corpus; that bounds what is sent to the tasks.
-GRAM_SHARE = 1 / 400_000
-#: Likewise for the words whose counts are sent to the tasks. Rarer ones are joined.
+#: A word's count is sent to the tasks if it makes up this share of all tokens or more, so at most the
+#: inverse of it are, whatever the corpus. Rarer words meet their counts in a join.
 WORD_SHARE = 1 / 400_000
 #: Symbols scored or counted at once, and entries that a task gathers before it hands them on.
 AT_ONCE, GATHERED = 1 << 20, 1 << 21
+#: Bytes of text whose distinct runs are looked up together, and rows of a bucket of contexts.
+BLOCK_BYTES, BUCKET_ROWS = 16 << 20, 1 << 17
 
 
 def symbols(text: str | None) -> np.ndarray:
@@ -75,25 +75,48 @@ def _distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
 
 
-def count_grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """key, n: how often each run of LENGTH symbols (fewer at a text's end) starts anywhere."""
+def into_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with ``block``, the first row of the block; blocks end once they have BLOCK_BYTES of text."""
+    block, size = None, 0
+    for frame in frames:
+        blocks = []
+        for row, text in zip(frame["row"], frame["text"]):
+            if block is None or size >= BLOCK_BYTES:
+                block, size = row, 0
+            size += len(text or "")
+            blocks.append(block)
+        yield frame.assign(block=pd.Series(blocks, index=frame.index, dtype="int64"))
+
+
+def block_runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """block, key, n: the distinct runs of LENGTH symbols (fewer at a text's start) that end anywhere
+    in a block, and how many of them end in texts to learn from."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
+    block = None
 
     def merged():
         return _distinct(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
 
+    def rows():
+        keys, n = merged()
+        found.clear()
+        return pd.DataFrame({"block": np.full(len(keys), block, np.int64), "key": keys.astype(np.int64), "n": n})
+
     for frame in frames:
-        for s, marks in _slices([symbols(t) for t in frame["text"]], 0, ORDER):
-            keys = _rolled(s, 0)
-            found.append(_distinct(np.concatenate([keys[a:b] for _, a, b in marks])))
-            if sum(len(k) for k, _ in found) > 4 * GATHERED:
-                found[:] = [merged()]
-                if len(found[0][0]) > GATHERED:
-                    yield pd.DataFrame({"key": found[0][0].astype(np.int64), "n": found[0][1]})
-                    found.clear()
+        for (b, held), part in frame.groupby(["block", "held_out"], sort=False):
+            if found and b != block:
+                yield rows()
+            block = b
+            for s, marks in _slices([symbols(t) for t in part["text"]], ORDER, 0):
+                keys = _rolled(s, 1 - LENGTH)
+                own, n = _distinct(np.concatenate([keys[i:j] for _, i, j in marks]))
+                found.append((own, n * (not held)))
+                if sum(len(k) for k, _ in found) > 4 * GATHERED:
+                    found[:] = [merged()]
+                    if len(found[0][0]) > GATHERED:
+                        yield rows()
     if found:
-        keys, n = merged()
-        yield pd.DataFrame({"key": keys.astype(np.int64), "n": n})
+        yield rows()
 
 
 def count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,28 +136,63 @@ def count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield rows()
 
 
-def trie_grams(texts: DataFrame, total: int) -> DataFrame:
-    """key, n of the grams of every length that belong in the trie."""
-    runs = texts.mapInPandas(count_grams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    prefixes = F.filter(F.array(*(F.shiftright("key", SYMBOL_BITS * k) for k in range(LENGTH))),
-                        lambda g: (g % (1 << SYMBOL_BITS)) != 0)
-    grams = runs.select(F.explode(prefixes).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
-    return grams.filter(F.col("n") >= total * GRAM_SHARE)
+def trie_grams(runs: DataFrame) -> DataFrame:
+    """key, n: every gram of every length that the training texts hold, from ``runs`` (key, n)."""
+    masks = [(1 << SYMBOL_BITS * k) - 1 for k in range(1, LENGTH + 1)]
+    suffixes = F.array(*(F.when(F.shiftright("key", SYMBOL_BITS * k) % (1 << SYMBOL_BITS) != 0, F.col("key").bitwiseAND(m))
+                         for k, m in enumerate(masks)))
+    learnt = runs.filter(F.col("n") > 0)
+    return learnt.select(F.explode(suffixes).alias("key"), "n").filter("key is not null").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def run_logs(grams: DataFrame, runs: DataFrame, total: int) -> DataFrame:
+    """key, log: log10 of the probability of the last symbol of each run after those before it.
+
+    A run needs the grams whose contexts end as its own does, so both are dealt into buckets by the
+    last two symbols of the context. Grams of up to two symbols, at most 257 * 258, go to all tasks.
+    What one such ending can have is bounded by the alphabet, however large the corpus is.
+    """
+    context = grams.sparkSession.sparkContext
+    short = 1 << SYMBOL_BITS * 2
+    few = grams.filter(F.col("key") < short).toPandas()
+    shared = context.broadcast((few["key"].to_numpy(np.uint64), few["n"].to_numpy(np.int64)))
+    rows = grams.filter(F.col("key") >= short).unionByName(runs.select("key", F.lit(0).cast("long").alias("n")))
+    buckets = grams.count() + runs.count() >> (BUCKET_ROWS.bit_length() - 1)
+    ending = F.shiftright("key", SYMBOL_BITS).bitwiseAND(short - 1)
+
+    def logs(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, n = frame["key"].to_numpy(np.uint64), frame["n"].to_numpy(np.int64)
+        asked = keys[n == 0]
+        trie = Trie.of_endings(np.r_[shared.value[0], keys[n > 0]], np.r_[shared.value[1], n[n > 0]], total)
+        return pd.DataFrame({"key": asked.astype(np.int64), "log": trie.run_log_probabilities(asked)})
+
+    bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64(ending), F.lit(buckets + 1)))
+    return bucketed.groupBy("bucket").applyInPandas(logs, "key long, log double")
 
 
 class Trie:
     """Logarithms for every context, and a hash table from grams to their places."""
 
+    @classmethod
+    def of_endings(cls, keys: np.ndarray, counts: np.ndarray, total: int) -> Trie:
+        """A trie of all grams whose contexts have certain endings. The contexts themselves may be
+        missing; each occurs as often as all that follows it, as every text has an end."""
+        contexts, each = np.unique(keys >> np.uint64(SYMBOL_BITS), return_inverse=True)
+        sums = np.bincount(each, counts, len(contexts)).astype(np.int64)
+        new = (contexts > 0) & ~np.isin(contexts, keys)
+        return cls(np.r_[keys, contexts[new]], np.r_[counts, sums[new]], total)
+
     def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int) -> None:
         order = np.argsort(keys)
         key = np.r_[np.uint64(0), keys[order].astype(np.uint64)]
         count = np.r_[float(total), counts[order].astype(np.float64)]
         length = np.ceil(np.frexp(key.astype(np.float64))[1] / SYMBOL_BITS).astype(np.int64)
         place = lambda wanted: np.searchsorted(key, wanted)
-        parent = place(key >> np.uint64(SYMBOL_BITS))
+        parent = np.minimum(place(key >> np.uint64(SYMBOL_BITS)), len(key) - 1)
+        grams = 1 + np.flatnonzero(key[parent[1:]] == key[1:] >> np.uint64(SYMBOL_BITS))  # with their contexts
         ends = (np.uint64(1) << (SYMBOL_BITS * np.maximum(length - 1, 0)).astype(np.uint64)) - np.uint64(1)
-        self.shorter = place(key & ends)  # without the first symbol
-        grams, n = np.arange(1, len(key)), len(key)
+        self.shorter = np.minimum(place(key & ends), len(key) - 1)  # without the first symbol
+        n = len(key)
         kept = np.bincount(parent[grams], count[grams], n)
         children = np.bincount(parent[grams], minlength=n)
         # What escapes: one for each symbol seen, and what the trie leaves out.
@@ -204,7 +262,13 @@ class Trie:
         """log10 of the probability of each symbol after those before it, down to the last 0."""
         gram = self.longest(_rolled(s, 1 - LENGTH))
         context = np.r_[0, gram[:-1]]
-        context = np.where(self.length[context] > ORDER, self.shorter[context], context)
+        return self._logs(gram, np.where(self.length[context] > ORDER, self.shorter[context], context))
+
+    def run_log_probabilities(self, runs: np.ndarray) -> np.ndarray:
+        """The same of the last symbol of each run of LENGTH symbols."""
+        return self._logs(self.longest(runs), self.longest(runs >> np.uint64(SYMBOL_BITS)))
+
+    def _logs(self, gram: np.ndarray, context: np.ndarray) -> np.ndarray:
         down = self.length[context].astype(np.int64) + 1 - self.length[gram]  # escapes needed
         out = self.log_count[gram] - self.log_whole[context]
         below = np.flatnonzero(down > 0)
@@ -234,50 +298,62 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     ``training`` says of each row whether the model learns from it (null: no). Null texts are
     empty; an empty text is its end alone. Words are lower-cased (A-Z); one end token follows
     them. Ids may be null or repeat. Without training rows every symbol is equally likely, and the
-    base score is 0. All counts are over all training rows; what the tasks receive is bounded by
-    ``GRAM_SHARE`` and ``WORD_SHARE``, and rarer words meet their counts in a join.
+    base score is 0. All counts are over all training rows, and none is dropped.
+
+    A symbol's probability depends on the run of LENGTH symbols that ends with it. Each distinct run
+    is judged once, by the tasks that hold the contexts with its ending; every block of texts gets
+    the logarithms of its own distinct runs in a join. So the trie grows with the corpus and is
+    nowhere whole. Words above ``WORD_SHARE`` are sent to all tasks, rarer ones joined. A text must
+    fit a task.
     """
     context = docs.sparkSession.sparkContext
     learns = F.coalesce(training, F.lit(False))
-    texts = docs.filter(learns).select(F.col(text_col).alias("text"))
+    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                        (~learns).alias("held_out"), F.col(text_col).alias("text"))
+    kind = named.schema["id"].dataType.simpleString()
+    laid = Tables(docs.sparkSession, "texts").write("blocks", named.mapInPandas(
+        into_blocks, f"row long, id {kind}, held_out boolean, text string, block long"))
+    texts = laid.filter(~F.col("held_out")).select("text")
     rows, total = texts.agg(F.count("*"), F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1), F.lit(0))).first()
-    grams = trie_grams(texts, total).toPandas()
+    asked = Tables(docs.sparkSession, "runs").write("runs", laid.select("block", "held_out", "text").mapInPandas(
+        block_runs, "block long, key long, n long"))
+    runs = stored(asked.groupBy("key").agg(F.sum("n").alias("n")))
+    logs = run_logs(stored(trie_grams(runs)), runs, total)
     words = stored(texts.mapInPandas(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     kinds, n_words = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     train_tokens, vocabulary = n_words + rows, kinds + (rows > 0)
     common = {r.word: r.n for r in words.filter(F.col("n") >= train_tokens * WORD_SHARE).collect()}
-    shared = context.broadcast((Trie(grams["key"].to_numpy(np.uint64), grams["n"].to_numpy(), total), common))
+    shared = context.broadcast(common)
     log_rows = float(np.log10(rows + 1))
 
-    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie, frequent = shared.value
-        counts = {w.encode("utf-8", "surrogatepass"): n for w, n in frequent.items()}
-        for frame in frames:
-            for i in range(0, len(frame), 512):
-                part = frame.iloc[i:i + 512]
-                found, rare = [], []
-                for row, text in zip(part["row"], part["text"]):
-                    tokens = [w for w in ascii_words(None if text is None else text)]
-                    tokens = b" ".join(tokens).lower().split()
-                    got = list(map(counts.get, tokens))
-                    seen = np.array([n for n in got if n is not None], np.float64)
-                    others = Counter(w for w, n in zip(tokens, got) if n is None) if len(seen) < len(got) else {}
-                    found.append((len(tokens) + 1, len(seen) + (rows > 0), float(np.log10(seen + 1).sum()) + log_rows))
-                    rare += [(row, w.decode("utf-8", "surrogatepass"), n) for w, n in others.items()]
-                one = pd.DataFrame(found, columns=["n_tokens", "known", "base"], index=part.index)
-                whole = pd.concat([part[["row", "id", "held_out"]], one], axis=1)
-                whole["score"] = trie.scores(list(part["text"]))
-                whole["word"] = [f" {r}" for r in part["row"]]  # no word has a space
-                yield whole.assign(times=0)
-                if rare:
-                    more = pd.DataFrame(rare, columns=["row", "word", "times"])
-                    yield more.reindex(columns=whole.columns.tolist() + ["times"])
-
-    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                        (~learns).alias("held_out"), F.col(text_col).alias("text"))
-    kind = named.schema["id"].dataType.simpleString()
-    parts = named.mapInPandas(scored, f"row long, id {kind}, held_out boolean, n_tokens long, known long, base double, "
-                                      "score double, word string, times long")
+    def scored(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        counts = {w.encode("utf-8", "surrogatepass"): n for w, n in shared.value.items()}
+        order = np.argsort(known["key"].to_numpy(np.uint64))
+        keys, log = known["key"].to_numpy(np.uint64)[order], known["log"].to_numpy()[order]
+        found, rare = [], []
+        for row, text in zip(frame["row"], frame["text"]):
+            tokens = b" ".join(ascii_words(text)).lower().split()
+            got = list(map(counts.get, tokens))
+            seen = np.array([n for n in got if n is not None], np.float64)
+            others = Counter(w for w, n in zip(tokens, got) if n is None) if len(seen) < len(got) else {}
+            found.append((len(tokens) + 1, len(seen) + (rows > 0), float(np.log10(seen + 1).sum()) + log_rows))
+            rare += [(row, w.decode("utf-8", "surrogatepass"), n) for w, n in others.items()]
+        one = pd.DataFrame(found, columns=["n_tokens", "known", "base"], index=frame.index)
+        whole = pd.concat([frame[["row", "id", "held_out"]], one], axis=1)
+        score = np.zeros(len(frame))
+        for s, marks in _slices([symbols(t) for t in frame["text"]], ORDER, 0):
+            ends = _rolled(s, 1 - LENGTH)
+            for n, i, j in marks:
+                score[n] += log[np.searchsorted(keys, ends[i:j])].sum()
+        whole["score"] = score
+        whole["word"] = [f" {r}" for r in frame["row"]]  # no word has a space
+        more = pd.DataFrame(rare, columns=["row", "word", "times"]).reindex(columns=[*whole.columns, "times"])
+        return pd.concat([whole.assign(times=0), more]) if rare else whole.assign(times=0)
+
+    met_runs = asked.select("block", "key").distinct().join(logs, "key")
+    parts = laid.groupBy("block").cogroup(met_runs.groupBy("block")).applyInPandas(
+        scored, f"row long, id {kind}, held_out boolean, n_tokens long, known long, base double, "
+                "score double, word string, times long")
     met = parts.join(words.filter(F.col("n") < train_tokens * WORD_SHARE), "word", "left")
     rare_log = F.when(F.col("n").isNotNull(), F.col("times") * F.log10(F.col("n") + 1))
     rare_known = F.when(F.col("n").isNotNull(), F.col("times"))

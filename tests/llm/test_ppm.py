@@ -97,7 +97,8 @@ def slow_base(docs, learns):
 def test_query(spark, monkeypatch, share):
     if share:
         monkeypatch.setattr(ppm, "WORD_SHARE", share)
-        monkeypatch.setattr(ppm, "GATHERED", 2000)
+        for name, value in (("GATHERED", 2000), ("BLOCK_BYTES", 20_000), ("BUCKET_ROWS", 1 << 10)):
+            monkeypatch.setattr(ppm, name, value)
     docs = {r.doc_id: r.text for r in table(spark, SF_DIR, "documents").collect()}
     apart = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
     want = slow_base(docs, lambda i: not apart(i))
@@ -106,7 +107,7 @@ def test_query(spark, monkeypatch, share):
     for i, r in got.items():
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (apart(i), *want[i][:3])
         assert r.base_score == pytest.approx(want[i][3])
-    trie = trained([t for i, t in docs.items() if not apart(i)], ppm.GRAM_SHARE)
+    trie = trained([t for i, t in docs.items() if not apart(i)], 0)
     some = sorted(docs)[:20]
     assert [got[i].score for i in some] == pytest.approx(trie.scores([docs[i] for i in some]).tolist())
     held = [r for i, r in got.items() if apart(i)]
