@@ -311,15 +311,16 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
                         (~learns).alias("held_out"), F.col(text_col).alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    laid = Tables(docs.sparkSession, "texts").write("blocks", named.mapInPandas(
+    tables = Tables(docs.sparkSession, "language-model")
+    laid = tables.write("blocks", named.mapInPandas(
         into_blocks, f"row long, id {kind}, held_out boolean, text string, block long"))
     texts = laid.filter(~F.col("held_out")).select("text")
     rows, total = texts.agg(F.count("*"), F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1), F.lit(0))).first()
-    asked = Tables(docs.sparkSession, "runs").write("runs", laid.select("block", "held_out", "text").mapInPandas(
+    asked = tables.write("runs", laid.select("block", "held_out", "text").mapInPandas(
         block_runs, "block long, key long, n long"))
     runs = stored(asked.groupBy("key").agg(F.sum("n").alias("n")))
     logs = run_logs(stored(trie_grams(runs)), runs, total)
-    words = stored(texts.mapInPandas(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    words = tables.write("words", texts.mapInPandas(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     kinds, n_words = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     train_tokens, vocabulary = n_words + rows, kinds + (rows > 0)
     common = {r.word: r.n for r in words.filter(F.col("n") >= train_tokens * WORD_SHARE).collect()}
@@ -350,7 +351,7 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
         more = pd.DataFrame(rare, columns=["row", "word", "times"]).reindex(columns=[*whole.columns, "times"])
         return pd.concat([whole.assign(times=0), more]) if rare else whole.assign(times=0)
 
-    met_runs = asked.select("block", "key").distinct().join(logs, "key")
+    met_runs = asked.select("block", "key").join(logs, "key")  # twice where a block was cut between tasks
     parts = laid.groupBy("block").cogroup(met_runs.groupBy("block")).applyInPandas(
         scored, f"row long, id {kind}, held_out boolean, n_tokens long, known long, base double, "
                 "score double, word string, times long")
