@@ -110,12 +110,16 @@ def search(
     return found.filter(F.col("service") == service) if service else found
 
 
-def page(letters: DataFrame, limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
-    """One page, newest first."""
+def check_page(limit: int, offset: int) -> None:
     if not 1 <= limit <= PAGE_LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {PAGE_LIMIT_MAX}")
     if offset < 0:
         raise ValueError("offset must not be negative")
+
+
+def page(letters: DataFrame, limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
+    """One page, newest first."""
+    check_page(limit, offset)
     return (
         letters.select("id", "failed_at", "failure_reason", "retry_count", "original_message")
         .orderBy(F.desc("failed_at"), F.desc("id")).offset(offset).limit(limit)

@@ -306,6 +306,14 @@ def dlq_next_page(spark, d):
         inputs.dlq_log(spark, d), datetime(2024, 1, 20, tzinfo=timezone.utc), 0, limit=50)
 
 
+@query
+def dlq_deep_page(spark, d):
+    """A page far behind the newest letters of a run's tables, found by the counts of hours."""
+    pipeline = inputs.stored_run(spark, d)
+    pipeline.fold(spark)
+    return pipeline.dead_letter_page(spark, limit=50, offset=120)
+
+
 @query
 def dlq_total(spark, d):
     return dead_letters.total(inputs.dlq_log(spark, d))

@@ -352,6 +352,9 @@ SELECT {_LETTER_COLUMNS} FROM letters ORDER BY failed_at DESC, id DESC LIMIT 50
     "dlq_next_page": _sql(LETTERS, f"""
 SELECT {_LETTER_COLUMNS} FROM letters
 WHERE (failed_at, id) < (TIMESTAMP '2024-01-20', 0) ORDER BY failed_at DESC, id DESC LIMIT 50"""),
+    "dlq_deep_page": _sql(LETTERS, """
+SELECT (id % 4) * 281474976710656 + id // 4 AS id, failed_at, failure_reason, retry_count, original_message
+FROM letters WHERE rule IS NOT NULL ORDER BY failed_at DESC, 1 DESC LIMIT 50 OFFSET 120"""),
     "dlq_total": _sql(LETTERS, "SELECT count(*) AS total FROM letters"),
     "dlq_high_retry": _sql(LETTERS, """
 SELECT id, failed_at, failure_reason, retry_count FROM letters WHERE retry_count >= 3"""),

@@ -62,6 +62,9 @@ DLQ_LOG = _struct(
 
 STORED_LETTERS = T.StructType(DLQ_LOG.fields + _struct(_RECORD).fields)
 
+# How many letters failed in each hour: where a page of them lies.
+DLQ_HOURS = _struct("hour TIMESTAMP, letters BIGINT")
+
 # Additive per-batch counts: what the streaming pipeline appends per micro-batch.
 WINDOW_DELTAS = _struct(
     "window_start TIMESTAMP, window_end TIMESTAMP, service STRING, total_messages BIGINT, "

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +21,11 @@ from pyspark.storagelevel import StorageLevel
 
 from logweir import schemas
 from logweir.functions.text import is_error
-from logweir.operators import delays, metrics
-from logweir.operators.dead_letters import dead_letter_rows, received_letters
+from logweir.operators import delays, metrics, pages
+from logweir.operators.dead_letters import check_page, dead_letter_rows, page, received_letters
 from logweir.operators.metrics import error_rate_windows, throughput_windows, window_counts
 from logweir.operators.validation import invalid_only, only_known, valid_only, validate_logs
-from logweir.settings import DLQ_TOPIC, LOG_TOPIC, LOOKBACK_MINUTES, WINDOW_SECONDS
+from logweir.settings import DLQ_TOPIC, LOG_TOPIC, LOOKBACK_MINUTES, PAGE_LIMIT, WINDOW_SECONDS
 from logweir.sinks import tables
 from logweir.sinks.commits import Ledger, Snapshot
 from logweir.sources.streams import of_topic, with_record_id
@@ -170,6 +170,31 @@ class Pipeline:
     def dlq_log(self, spark: SparkSession) -> DataFrame:
         return self.snapshot(spark).table("dlq_log", schemas.STORED_LETTERS)
 
+    def letter_counts(self, seen: Snapshot) -> DataFrame:
+        """hour, letters over all committed batches: the directory of folded days, and counts of the rest."""
+        counted = seen.fold.files.get("dlq_hours", {})
+        missing = [d for d in seen.fold.files.get("dlq_log", {}) if d not in counted]  # folded before there was one
+        rest = seen.since_fold("dlq_log", schemas.STORED_LETTERS).unionByName(
+            seen.folded("dlq_log", schemas.STORED_LETTERS, missing))
+        return seen.folded("dlq_hours", schemas.DLQ_HOURS).drop(tables.DAY).unionByName(pages.directory(rest))
+
+    def dead_letter_page(self, spark: SparkSession, limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
+        """One page of dlq_log, newest first, at any depth: only the hours that hold the page are read.
+
+        Runs a job over the directory when called. A page behind the last letter is empty.
+        """
+        check_page(limit, offset)
+        seen = self.snapshot(spark)
+        cells = pages.cells_of_page(self.letter_counts(seen), limit, offset).select(
+            F.unix_seconds("hour").alias("second"), "before").collect()
+        if not cells:
+            return page(spark.createDataFrame([], schemas.STORED_LETTERS), limit)
+        first, last = (datetime.fromtimestamp(f(c.second for c in cells), timezone.utc) for f in (min, max))
+        letters = seen.table("dlq_log", schemas.STORED_LETTERS, first.date(), last.date())
+        at = F.col("failed_at")
+        held = letters.filter((at >= F.lit(first)) & (at < F.lit(last + timedelta(hours=1))))
+        return page(held, limit, offset - min(c.before for c in cells))
+
     def fold(self, spark: SparkSession) -> list[str]:
         """Merge what batches have left since the last fold; the days whose metrics were written anew.
 
@@ -193,6 +218,11 @@ class Pipeline:
                                         ("dlq_log", schemas.STORED_LETTERS, "failed_at")):
             if seen.days(table):
                 store(table, seen.since_fold(table, schema), time_col, replace=False)
+        lettered = seen.days("dlq_log")
+        if lettered:
+            rows = seen.since_fold("dlq_log", schemas.STORED_LETTERS).unionByName(
+                seen.folded("dlq_log", schemas.STORED_LETTERS, lettered))
+            store("dlq_hours", pages.directory(rows), "hour", replace=True)
         if days:
             before = seen.folded("window_totals", schemas.WINDOW_DELTAS, days)
             totals = sum_deltas(before.unionByName(seen.since_fold("window_deltas", schemas.WINDOW_DELTAS)))
