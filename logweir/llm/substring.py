@@ -9,6 +9,8 @@ sample, with more than one suffix below them are the repeats.
 
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -19,26 +21,21 @@ from logweir.llm.sampled import Kind, repeats
 WINDOW, PREFIX = 35, 12
 
 
-def _layout(raw: bytes) -> tuple[list[int], list[int]]:
-    lengths = np.array([len(w) for w in raw.split(b" ")], np.int64)
-    ends = np.cumsum(lengths + 1) - 1
-    return (ends - lengths).tolist(), ends.tolist()
-
-
-def _symbols(text: str):
-    words = ascii_words(text)
-    raw = b" ".join(words)
-    starts, ends = _layout(raw) if words else ([], [])
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), raw, starts, ends
+def _symbols(texts: list[str]):
+    parts = [ascii_words(text) for text in texts]
+    words = [word for part in parts for word in part]
+    symbols = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    offset = np.r_[0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)]
+    return b" ".join(words), symbols, np.fromiter(map(len, parts), np.int64, len(parts)), offset
 
 
-def _parts(raw: bytes, vocabulary: dict) -> list[int]:
-    return [vocabulary.setdefault(w, len(vocabulary) + 1) for w in raw.split(b" ")]
+def _numbers(raw: bytes) -> np.ndarray:
+    vocabulary: dict[bytes, int] = {}
+    return np.array([vocabulary.setdefault(w, len(vocabulary)) for w in raw.split(b" ")], np.uint32)
 
 
-def _finish(doc_id, text, removed: np.ndarray):
-    _, raw, starts, ends = text
-    kept = b" ".join(raw[starts[i]:ends[i]] for i in np.flatnonzero(~removed).tolist()) if removed.any() else raw
+def _finish(doc_id, raw: bytes, removed: np.ndarray):
+    kept = b" ".join(compress(raw.split(b" "), (~removed).tolist())) if removed.any() else raw
     return doc_id, len(removed), int(removed.sum()), kept.decode("utf-8", "surrogatepass")
 
 
@@ -53,6 +50,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if not 0 < prefix <= window <= prefix + 62:
         raise ValueError("the prefix must be shorter than the window, by 62 words at most")
-    kind = Kind(window, prefix, _symbols, _layout, _parts, ordered=False)
+    kind = Kind(window, prefix, _symbols, _numbers, b" ", ordered=False)
     id_type = docs.schema[id_col].dataType.simpleString()
     return repeats(docs, kind, id_col, text_col, _finish, f"id {id_type}, n_words long, n_removed long, kept string")

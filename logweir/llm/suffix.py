@@ -17,23 +17,21 @@ from logweir.llm.sampled import Kind, repeats
 LENGTH, TRIGGER = 50, 16
 
 
-def _symbols(text: str):
-    raw = text.encode("utf-8", "surrogatepass")
-    return np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), raw, *_layout(raw)
+def _symbols(texts: list[str]):
+    parts = [text.encode("utf-8", "surrogatepass") for text in texts]
+    raw = b"".join(parts)
+    return raw, _numbers(raw), np.fromiter(map(len, parts), np.int64, len(parts)), None
 
 
-def _layout(raw: bytes) -> tuple[range, range]:
-    return range(len(raw)), range(1, len(raw) + 1)
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8)
 
 
-def _parts(raw: bytes, vocabulary: dict) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).astype(np.int64) + 1
-
-
-def _finish(doc_id, text, removed: np.ndarray):
+def _finish(doc_id, raw: bytes, removed: np.ndarray):
+    if not removed.any():
+        return doc_id, len(raw), 0, 0, raw
     runs = int(removed[:1].sum() + (removed[1:] & ~removed[:-1]).sum())
-    kept = np.frombuffer(text[1], np.uint8)[~removed].tobytes()
-    return doc_id, len(removed), int(removed.sum()), runs, kept
+    return doc_id, len(raw), int(removed.sum()), runs, _numbers(raw)[~removed].tobytes()
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -46,7 +44,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if not 0 < trigger <= length <= trigger + 62:
         raise ValueError("the trigger must be shorter than the string, by 62 bytes at most")
-    kind = Kind(length, trigger, _symbols, _layout, _parts, ordered=True)
+    kind = Kind(length, trigger, _symbols, _numbers, b"", ordered=True)
     id_type = docs.schema[id_col].dataType.simpleString()
     return repeats(docs, kind, id_col, text_col, _finish,
                    f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -1,9 +1,11 @@
 """Both substring operators against brute force, with small and crowded groups."""
 
 import hashlib
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,45 @@ def test_leftmost_smallest_of_neighbours(monkeypatch):
         monkeypatch.setattr(sampled, "_PLACE_BITS", bits)
         for w in (1, 2, 3, 35, 50):
             assert sampled._leftmost_smallest(x, w).tolist() == [i + int(np.argmin(x[i:i + w])) for i in range(len(x) - w + 1)]
+
+
+def test_strings_of_few_symbols(spark):
+    """Zero bytes, which also fill up what is compared; texts of two blocks that agree in part; ties of samples."""
+    draw = np.random.default_rng(9)
+    texts = ["".join(draw.choice(list("\0a"), draw.integers(0, 90))) for _ in range(60)]
+    texts += [t[5:40] + "\0" * 25 + t[:30] for t in texts[:20]] + ["\0" * 50, "\0" * 19 + "a" * 30]
+    rows = [(i % 70, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in suffix.without_repeats(df, length=20, trigger=6).collect()]
+    assert sorted(got, key=repr) == slow_bytes(rows, 20)
+    rows = [(i, " ".join(t)) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.id, r.n_words, r.n_removed, sha(r.kept.encode())) for r in substring.without_repeats(df, window=12, prefix=4).collect()]
+    assert sorted(got, key=repr) == slow_words(rows, 12)
+
+
+def test_calls_do_not_grow_with_surroundings():
+    """Surroundings are found, packed and compared in arrays: ten times as many take no more calls from Python."""
+    kind = sampled.Kind(50, 16, suffix._symbols, suffix._numbers, b"", ordered=True)
+    text = bytes(np.random.default_rng(2).integers(97, 123, 20_000, np.uint8)).decode()
+
+    def calls(n):
+        sent, counted = [], 0
+
+        def count(frame, event, arg):
+            nonlocal counted
+            counted += event in ("call", "c_call")
+
+        blocks = [sampled.Block(kind, pd.DataFrame({"id": [i], "text": [text[:n]], "value": [i], "uid": [0]})) for i in (1, 2, 3)]
+        sys.setprofile(count)
+        try:
+            for i, block in enumerate(blocks):
+                replies = pd.DataFrame({"bucket": [0], "data": [np.ones(len(block.known), np.uint8).tobytes()]})
+                sent += [(i, data) for _, data in block.packed(block.surroundings(replies, 1), 1)]
+            answers = sampled._compared(kind, pd.DataFrame(sent, columns=["block", "data"]))
+        finally:
+            sys.setprofile(None)
+        assert answers["block"].tolist() == [1, 2]
+        return counted
+
+    assert calls(20_000) < 1.2 * calls(2_000)
